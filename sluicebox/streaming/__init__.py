@@ -1,0 +1 @@
+"""Intentionally empty: every job here is a scheduled rebuild of whole tables, so there is no stream to build."""
