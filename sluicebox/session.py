@@ -24,6 +24,7 @@ def build_session(app_name: str = "sluicebox", master: str | None = None, **conf
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         **conf,
     }
     builder = SparkSession.builder.appName(app_name)
@@ -61,14 +62,25 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spool(df: DataFrame) -> DataFrame:
+    """As ``settle`` for larger results: a columnar table in the shared folder, so readers can prune columns."""
+    path = scratch_path(df.sparkSession, "spool")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def is_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
+    """Whether the text of all values of ``df`` measures at most ``limit`` bytes. Runs a job: settle ``df`` first."""
+    per_row = F.lit(16)
+    for name in df.columns:
+        per_row = per_row + F.coalesce(F.octet_length(F.col(f"`{name}`").cast("string")), F.lit(0))
+    return df.agg(F.coalesce(F.sum(per_row.cast("long")), F.lit(0)).alias("bytes")).first()["bytes"] <= limit
+
+
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """Settle ``df`` and mark it for broadcast only if its measured text size stays under ``limit``.
+    """Settle ``df`` and mark it for broadcast only if its measured size stays under ``limit``.
 
     Beyond the limit the join is an ordinary shuffle join, where adaptive execution splits skewed partitions.
     """
     settled = settle(df)
-    per_row = F.lit(16)
-    for name in settled.columns:
-        per_row = per_row + F.coalesce(F.octet_length(F.col(f"`{name}`").cast("string")), F.lit(0))
-    size = settled.agg(F.coalesce(F.sum(per_row.cast("long")), F.lit(0)).alias("bytes")).first()["bytes"]
-    return F.broadcast(settled) if size <= limit else settled
+    return F.broadcast(settled) if is_small(settled, limit) else settled
