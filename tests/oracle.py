@@ -1,0 +1,74 @@
+"""Compare registered queries with their SQL: ``python tests/oracle.py [sf_dir [query …]]``."""
+
+from __future__ import annotations
+
+import datetime
+import decimal
+import math
+import sys
+import time
+from pathlib import Path
+
+import duckdb
+
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
+).split()
+
+
+def connect(sf_dir):
+    connection = duckdb.connect()
+    for name in TABLES:
+        connection.execute(f"create view {name} as select * from read_parquet('{sf_dir}/{name}.parquet')")
+    return connection
+
+
+def plain(value):
+    if isinstance(value, float):
+        return "nan" if math.isnan(value) else repr(value)
+    if isinstance(value, decimal.Decimal):
+        return repr(float(value))
+    if isinstance(value, (datetime.date, datetime.datetime)):
+        return value.isoformat()
+    return repr(value)
+
+
+def canonical(columns, data):
+    order = sorted(range(len(columns)), key=lambda n: columns[n])
+    return sorted(columns), sorted(tuple(plain(row[n]) for n in order) for row in data)
+
+
+def compare(spark, connection, name, query, sql, sf_dir):
+    """None if both sides agree, else what differs."""
+    frame = query(spark, sf_dir)
+    ours = canonical(frame.columns, [tuple(row) for row in frame.collect()])
+    result = connection.execute(sql)
+    theirs = canonical([column[0] for column in result.description], result.fetchall())
+    if ours[0] != theirs[0]:
+        return f"columns {ours[0]} != {theirs[0]}"
+    if ours[1] != theirs[1]:
+        extra = [row for row in ours[1] if row not in set(theirs[1])][:3]
+        lacking = [row for row in theirs[1] if row not in set(ours[1])][:3]
+        return f"{len(ours[1])} rows != {len(theirs[1])} rows, only here {extra}, only there {lacking}"
+    return None if ours[1] else "no rows"
+
+
+if __name__ == "__main__":
+    sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
+    from __spark_entry__ import oracle_sql, queries
+    from sluicebox.session import build_session
+
+    sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.001"
+    session = build_session("oracle", "local[8]", **{"spark.sql.shuffle.partitions": 8, "spark.driver.memory": "8g"})
+    session.sparkContext.setLogLevel("ERROR")
+    registered, sql = queries(), oracle_sql()
+    for name in sys.argv[2:] or registered:
+        started = time.time()
+        try:
+            if name in sql:
+                verdict = compare(session, connect(sf_dir), name, registered[name], sql[name], sf_dir) or "ok"
+            else:
+                verdict = f"{registered[name](session, sf_dir).count()} rows, no SQL"
+        except Exception as problem:  # noqa: BLE001
+            verdict = f"{type(problem).__name__}: {str(problem)[:600]}"
+        print(f"{name:28} {time.time() - started:6.1f}s {verdict}", flush=True)
