@@ -136,13 +136,16 @@ def facility(raw: DataFrame, lookup: DataFrame, source: catalog.FacilitySource)
 
 
 def source_files(series_log: DataFrame, facility_log: DataFrame) -> DataFrame:
-    """One row per file that was tried, from both kinds of job."""
-    tagged = series_log.withColumn("schema_name", F.lit("population")).unionByName(
-        facility_log.withColumn("schema_name", F.lit("bosai")), allowMissingColumns=True
-    )
-    columns = log_schema().fieldNames()
-    return tagged.withColumn("fetched_at", clean.lenient_timestamp(F.col("fetched_at"))).select(
-        "schema_name", *columns
+    """One row per file that was tried, from both kinds of job; what a log lacks is NULL."""
+    declared = log_schema()
+
+    def padded(log: DataFrame, schema_name: str) -> DataFrame:
+        missing = {f.name: F.lit(None).cast(f.dataType) for f in declared if f.name not in log.columns}
+        return log.withColumns(missing).withColumn("schema_name", F.lit(schema_name))
+
+    united = padded(series_log, "population").unionByName(padded(facility_log, "bosai"))
+    return united.withColumn("fetched_at", clean.lenient_timestamp(F.col("fetched_at"))).select(
+        "schema_name", *declared.fieldNames()
     )
 
 
