@@ -85,12 +85,10 @@ def level_histogram(lookup: DataFrame, level: str = "geo_level", none: str = "no
     counts = lookup.groupBy(F.coalesce(F.nullif(level, F.lit("")), F.lit(none)).alias("level")).agg(
         F.count("*").alias("n")
     )
-    total = counts.agg(F.sum("n").alias("total"))
-    return (
-        counts.crossJoin(F.broadcast(total))
-        .select("level", "n", F.try_divide(F.col("n").cast("double"), "total").alias("share"))
-        .orderBy(F.col("n").desc(), "level")
-    )
+    total = counts.agg(F.sum("n")).scalar()
+    return counts.select(
+        "level", "n", F.try_divide(F.col("n").cast("double"), total).alias("share")
+    ).orderBy(F.col("n").desc(), "level")
 
 
 def sample_of(df: DataFrame, by: str, n: int = 3) -> DataFrame:

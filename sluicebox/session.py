@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +23,7 @@ def build_session(app_name: str = "sluicebox", master: str | None = None, **conf
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
@@ -35,6 +38,20 @@ def build_session(app_name: str = "sluicebox", master: str | None = None, **conf
     return builder.getOrCreate()
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers of every executor, once per application."""
+    context = spark.sparkContext
+    if getattr(context, "_sluicebox_shipped", False):
+        return
+    package = Path(__file__).resolve().parent
+    bundle = Path(tempfile.mkdtemp(prefix="sluicebox-")) / "sluicebox.zip"
+    with zipfile.ZipFile(bundle, "w") as archive:
+        for source in sorted(package.rglob("*.py")):
+            archive.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(bundle))
+    context._sluicebox_shipped = True
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 

@@ -19,7 +19,6 @@ def spark(tmp_path_factory):
         **{
             "spark.sql.shuffle.partitions": 4,
             "spark.default.parallelism": 4,
-            "spark.checkpoint.dir": tmp_path_factory.mktemp("shared"),
             "spark.sql.warehouse.dir": tmp_path_factory.mktemp("warehouse"),
         },
     )
