@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from sluicebox.functions.clean import complete_address
 from sluicebox.functions.geo import ACCEPTED_LEVELS, REJECTED_LEVELS
 from sluicebox.operators import lookup
+from sluicebox.plans import addresses
 from sluicebox.queries.common import choose, table, text
 from sluicebox.session import scratch_path
-from sluicebox.sources.ndjson import load_cache
+from sluicebox.sources.ndjson import load_cache, write_sorted
 
 
 def _name(key: str) -> Column:
@@ -141,8 +142,7 @@ def cache_last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_type").alias("geo_level"),
         text("event_id").alias("match_level"),
     )
-    ordered = lines.repartitionByRange("event_id").sortWithinPartitions("event_id").drop("event_id")
-    ordered.write.json(path)
+    write_sorted(lines, path, "event_id")
     return load_cache(spark, path, "address string, geo_level string, match_level string")
 
 
@@ -156,6 +156,31 @@ def level_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookup.level_histogram(lookup_current(spark, sf_dir))
 
 
+def lookup_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole round: addresses in use, cache misses, answers for some of them, and the current records."""
+    key = F.col("p_partkey")
+    results = table(spark, sf_dir, "part").filter(key % 2 == 1).select(
+        F.concat(F.lit("東京都中央区住所"), text(key)).alias("input"),
+        choose(key, *ACCEPTED_LEVELS, *REJECTED_LEVELS).alias("coordinate_level"),
+        (key % 10 + 30).cast("double").alias("lat"),
+        F.lit(139.5).alias("lon"),
+        key.alias("line"),
+    )
+    tables = [in_use(spark, sf_dir), in_use(spark, sf_dir).filter(F.length("address") > 4)]
+    done = addresses.refresh(tables, cache(spark, sf_dir), results, "東京都", "中央区", "line")
+    return done.current.select("address", "geo_level", "geo_lat")
+
+
+REFRESH_SQL = f"""
+with answers as (select '住所' || p_partkey as address, (p_partkey % 10 + 30)::double as lat,
+    case p_partkey % 7 when 0 then 'residential_detail' when 1 then 'residential_block' when 2 then 'machiaza_detail'
+      when 3 then 'machiaza' end as level
+  from part where p_partkey % 2 = 1)
+select u.address, coalesce(c.geo_level, a.level) as geo_level,
+  coalesce(c.geo_lat, case when a.level is not null then a.lat end) as geo_lat
+from ({IN_USE_SQL}) u left join ({CACHE_SQL}) c on c.address = u.address left join answers a on a.address = u.address
+"""
+
 QUERIES = {
     "distinct_addresses": distinct_addresses,
     "lookup_misses": lookup_misses,
@@ -165,6 +190,7 @@ QUERIES = {
     "lookup_attach": lookup_attach,
     "cache_last_wins": cache_last_wins,
     "level_histogram": level_histogram,
+    "lookup_refresh": lookup_refresh,
 }
 _CURRENT_SQL = f"select c.* from ({IN_USE_SQL}) u join ({CACHE_SQL}) c on c.address = u.address"
 SQL = {
@@ -176,6 +202,7 @@ SQL = {
     "lookup_confidence": CONFIDENCE_SQL,
     "lookup_attach": ATTACH_SQL,
     "cache_last_wins": LAST_SQL,
+    "lookup_refresh": REFRESH_SQL,
     "level_histogram": f"""select coalesce(nullif(geo_level, ''), 'none') as level, count(*) as n,
       count(*)::double / sum(count(*)) over () as share from ({_CURRENT_SQL}) group by 1""",
 }
