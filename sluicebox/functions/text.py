@@ -1,8 +1,13 @@
-"""Text normal forms used to compare headers, values and addresses written in different ways."""
+"""Text normal forms used to compare headers, values and addresses written in different ways.
+
+Unicode normalisation has no built-in function. ASCII text is its own normal form, so its forms are built from built-in
+functions; only other text is handed, in Arrow batches, to the Python form of the same name.
+"""
 
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column
@@ -23,18 +28,55 @@ SPACE_SEPARATORS = (
 )
 BYTE_ORDER_MARK = "\ufeff"
 
+_ASCII_SPACES = tuple(c for c in SPACES if c.isascii())
+_ASCII_RUN = "[\\x09-\\x0d\\x1c-\\x20]+"
 _SPACE_RUN = "[\\x09-\\x0d\\x1c-\\x20\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]+"
 _NON_ASCII = "[^\\x00-\\x7f]"
 
 
-@F.pandas_udf(StringType())
-def _compose(texts: pd.Series) -> pd.Series:
-    return texts.map(lambda t: None if t is None else unicodedata.normalize("NFKC", t))
+def nfkc_text(text: str) -> str:
+    return unicodedata.normalize("NFKC", text)
+
+
+def header_text(text: str) -> str:
+    bare = text.replace(BYTE_ORDER_MARK, "").strip().strip('"').strip("'")
+    return "".join(nfkc_text(bare).split())
+
+
+def value_text(text: str) -> str:
+    return "".join(nfkc_text(text).split()).replace(",", "")
+
+
+def query_text(text: str) -> str:
+    return " ".join(nfkc_text(text).split())
+
+
+def _normaliser(form: Callable[[str], str]) -> Callable[[Column, Column], Column]:
+    """A form given its built-in equivalent for ASCII text."""
+
+    @F.pandas_udf(StringType())
+    def in_python(texts: pd.Series) -> pd.Series:
+        return pd.Series([None if text is None else form(text) for text in texts], dtype=object)
+
+    def apply(text: Column, ascii_form: Column) -> Column:
+        return F.coalesce(in_python(F.when(text.rlike(_NON_ASCII), text)), ascii_form)
+
+    return apply
+
+
+_nfkc, _header, _value, _query = map(_normaliser, (nfkc_text, header_text, value_text, query_text))
+
+
+def _without(text: Column, characters: tuple[str, ...]) -> Column:
+    """Delete a few ASCII characters; each plain search is far cheaper than a look at every character."""
+    for character in characters:
+        text = F.replace(text, F.lit(character), F.lit(""))
+    return text
 
 
 def nfkc(text: Column) -> Column:
-    """Unicode NFKC. ASCII text is its own NFKC form, so only other text is handed to the Python worker."""
-    return F.coalesce(_compose(F.when(text.rlike(_NON_ASCII), text)), text)
+    """Unicode NFKC."""
+    return _nfkc(text, text)
 
 
 def strip(text: Column) -> Column:
@@ -54,19 +96,18 @@ def squeeze(text: Column) -> Column:
 
 def header_form(text: Column) -> Column:
     """Normal form of a CSV header: no BOM, quotes or white space, NFKC."""
-    bare = strip(F.replace(text, F.lit(BYTE_ORDER_MARK), F.lit("")))
-    unquoted = F.btrim(F.btrim(bare, F.lit('"')), F.lit("'"))
-    return F.translate(nfkc(unquoted), SPACES, "")
+    unquoted = F.btrim(F.btrim(F.btrim(text, F.lit("".join(_ASCII_SPACES))), F.lit('"')), F.lit("'"))
+    return _header(text, _without(unquoted, _ASCII_SPACES))
 
 
 def value_form(text: Column) -> Column:
     """Normal form of a cell: NFKC, no white space, no thousands separators; NULL counts as empty."""
-    return F.translate(nfkc(F.coalesce(text, F.lit(""))), SPACES + ",", "")
+    return F.coalesce(_value(text, _without(text, (*_ASCII_SPACES, ","))), F.lit(""))
 
 
 def query_form(text: Column) -> Column:
     """Normal form of a lookup text: NFKC with single spaces."""
-    return squeeze(nfkc(text))
+    return _query(text, F.btrim(F.regexp_replace(text, _ASCII_RUN, " "), F.lit(" ")))
 
 
 def clean_text(text: Column) -> Column:

@@ -22,9 +22,8 @@ def clean_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
         "",
         F.date_format(day, "yyyy-M-d"),
     )
-    return table(spark, sf_dir, "orders").select(
-        "o_orderkey", written.alias("written"), text(clean.lenient_date(written)).alias("day")
-    )
+    raw = table(spark, sf_dir, "orders").select("o_orderkey", written.alias("written"))
+    return raw.withColumn("day", text(clean.lenient_date(F.col("written"))))
 
 
 DATES_SQL = """
@@ -69,13 +68,21 @@ def clean_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
         "北緯35度",
     )
     digits = F.substring(F.lit(clean.WIDE_DIGITS), (key % 10 + 1).cast("int"), F.lit(1))
-    cleaned = table(spark, sf_dir, "lineitem").select(
+    raw = table(spark, sf_dir, "lineitem").select(
+        "l_returnflag",
+        counted.alias("counted"),
+        degrees.alias("degrees"),
+        F.when(key % 6 == 0, "丁目").otherwise(F.concat(digits, digits)).alias("chome"),
+        F.concat(F.lit(" "), text(key % 100), F.lit("　")).alias("age"),
+        choose(key, "", "x", None).alias("named"),
+    )
+    cleaned = raw.select(
         "l_returnflag",
-        clean.count_number(counted).alias("counted"),
-        clean.real_number(degrees).alias("degrees"),
-        clean.wide_number(F.when(key % 6 == 0, "丁目").otherwise(F.concat(digits, digits))).alias("chome"),
-        clean.spaced_number(F.concat(F.lit(" "), text(key % 100), F.lit("　"))).alias("age"),
-        clean.blank_to_null(choose(key, "", "x", None)).alias("named"),
+        clean.count_number(F.col("counted")).alias("counted"),
+        clean.real_number(F.col("degrees")).alias("degrees"),
+        clean.wide_number(F.col("chome")).alias("chome"),
+        clean.spaced_number(F.col("age")).alias("age"),
+        clean.blank_to_null(F.col("named")).alias("named"),
     )
     return cleaned.groupBy("l_returnflag", "chome").agg(
         F.count("*").alias("n"),
@@ -116,9 +123,9 @@ def clean_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_format("ts", "yyyy-MM-dd"),
         "昨日",
     )
-    return table(spark, sf_dir, "events").select(
-        "event_id", F.date_format(clean.lenient_timestamp(written), "yyyy-MM-dd HH:mm:ss").alias("fetched_at")
-    )
+    raw = table(spark, sf_dir, "events").select("event_id", written.alias("written"))
+    cleaned = clean.lenient_timestamp(F.col("written"))
+    return raw.select("event_id", F.date_format(cleaned, "yyyy-MM-dd HH:mm:ss").alias("fetched_at"))
 
 
 TIMESTAMPS_SQL = """
@@ -141,9 +148,8 @@ def complete_address(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("山梨県北杜市"), street),
         F.concat(F.lit("　京都府京都市"), street, F.lit(" ")),
     )
-    return table(spark, sf_dir, "customer").select(
-        "c_custkey", address.alias("address"), clean.complete_address(address, "東京都", "中央区").alias("query")
-    )
+    raw = table(spark, sf_dir, "customer").select("c_custkey", address.alias("address"))
+    return raw.withColumn("query", clean.complete_address(F.col("address"), "東京都", "中央区"))
 
 
 ADDRESS_SQL = f"""

@@ -35,7 +35,7 @@ def test_normal_forms_of_whole_documents_agree_with_python(spark):
     import hashlib
     import unicodedata
 
-    from sluicebox.sources.csvfiles import header_text
+    from sluicebox.functions.text import header_text
 
     texts = {row["doc_id"]: row["text"] for row in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()}
     for row in queries()["normalise_text"](spark, SF_DIR).collect():
