@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluicebox.catalog import LOOKUP_DETAILS
@@ -85,7 +85,8 @@ def level_histogram(lookup: DataFrame, level: str = "geo_level", none: str = "no
     counts = lookup.groupBy(F.coalesce(F.nullif(level, F.lit("")), F.lit(none)).alias("level")).agg(
         F.count("*").alias("n")
     )
-    total = counts.agg(F.sum("n")).scalar()
+    # Only the counts, one row per level, meet in one task.
+    total = F.sum("n").over(Window.partitionBy(F.lit(1)))
     return counts.select(
         "level", "n", F.try_divide(F.col("n").cast("double"), total).alias("share")
     ).orderBy(F.col("n").desc(), "level")

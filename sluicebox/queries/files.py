@@ -19,7 +19,7 @@ from sluicebox.functions.clean import count_number, fiscal_year
 from sluicebox.functions.text import strip
 from sluicebox.operators import headers
 from sluicebox.operators.checks import every_file_ingested
-from sluicebox.operators.evidence import headerless_evidence, is_whole_number
+from sluicebox.operators.evidence import column_evidence, headerless_evidence, is_whole_number, wide_evidence
 from sluicebox.operators.series import append_all, union_tagged, with_provenance
 from sluicebox.plans.ingest import list_text
 from sluicebox.queries.common import cents, choose, grouped, table, text
@@ -271,7 +271,7 @@ from d
 # ---- ZIP ----------------------------------------------------------------------------------------------------------
 
 
-def _land_archives(orders: DataFrame) -> DataFrame:
+def _land_archives(orders: DataFrame, head: tuple[str, ...] = ()) -> DataFrame:
     """Yearly archives of monthly CP932 files; every batch of rows makes its own archive of each year."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -286,7 +286,7 @@ def _land_archives(orders: DataFrame) -> DataFrame:
                 with zipfile.ZipFile(blob, "w", zipfile.ZIP_DEFLATED) as archive:
                     archive.writestr("readme.txt", "説明")
                     for month, lines in months.items():
-                        body = "\r\n".join([*lines, "注記,,この表は…,"])
+                        body = "\r\n".join([*head, *lines, "注記,,この表は…,"])
                         archive.writestr(f"{year}/{month}towns.csv", body.encode("cp932"))
                         archive.writestr(f"old/{month}towns.csv", "後,計,1,[人]".encode("cp932"))
                 out["path"].append(f"{year}/{task}-{n}.zip")
@@ -296,16 +296,19 @@ def _land_archives(orders: DataFrame) -> DataFrame:
     return spool(orders.mapInArrow(pack, "path string, content binary"))
 
 
+def _monthly_lines(spark: SparkSession, sf_dir: str, line: Column) -> DataFrame:
+    month = F.date_format("o_orderdate", "yyyyMM")
+    return table(spark, sf_dir, "orders").select(
+        fiscal_year(month).alias("fiscal_year"), month.alias("year_month"), line.alias("line")
+    )
+
+
 def archive_member_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Monthly evidence totals read from yearly archives; a second member of a month and a broken archive give none."""
-    month = F.date_format("o_orderdate", "yyyyMM")
     line = F.concat(
         F.lit("注文"), text("o_orderkey"), F.lit(",計,\""), grouped(F.floor("o_totalprice")), F.lit("\",[人]")
     )
-    orders = table(spark, sf_dir, "orders").select(
-        fiscal_year(month).alias("fiscal_year"), month.alias("year_month"), line.alias("line")
-    )
-    landed = _land_archives(orders)
+    landed = _land_archives(_monthly_lines(spark, sf_dir, line))
     broken = landed.select(F.concat("path", F.lit(".html")).alias("path"), F.lit(b"<html>busy</html>").alias("content"))
     members = archive_members(landed.unionByName(broken), r"(\d{6})towns\.csv")
     return (
@@ -325,6 +328,49 @@ select strftime(o_orderdate, '%Y%m') as year_month, count(*) as n, sum(floor(o_t
 from orders group by 1
 """
 
+
+def town_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Evidence of the town layout: a title above the header, full-width letters, thousands separators."""
+    key, amount = F.col("o_orderkey"), F.floor("o_totalprice")
+    numbers = [F.concat(F.lit('"'), grouped(n), F.lit('"')) for n in (amount, amount % 1000, amount % 77)]
+    line = F.concat_ws(",", F.concat(F.lit("Ｔ "), text(key)), *numbers, text(key % 10))
+    head = ("町丁目別一覧,,,,", "町丁目,世帯数[世帯],人口（男）[人],人口（女）[人],計[人]")
+    members = archive_members(_land_archives(_monthly_lines(spark, sf_dir, line), head), r"(\d{6})towns\.csv")
+    facts = column_evidence(members)
+    sums = [F.sum(F.col(name).cast("bigint")).alias(name) for name in ("households", "male", "female", "total")]
+    return facts.groupBy("year_month").agg(F.count("*").alias("n"), F.min("town").alias("first_town"), *sums)
+
+
+TOWN_EVIDENCE_SQL = """
+select strftime(o_orderdate, '%Y%m') as year_month, count(*) as n, min('T' || o_orderkey) as first_town,
+  sum(floor(o_totalprice)::bigint)::bigint as households, sum(floor(o_totalprice)::bigint % 1000)::bigint as male,
+  sum(floor(o_totalprice)::bigint % 77)::bigint as female, sum(o_orderkey % 10)::bigint as total
+from orders group by 1
+"""
+
+
+def age_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Evidence of the wide age layout, one row per age and sex."""
+    key, amount = F.col("o_orderkey"), F.floor("o_totalprice")
+    line = F.concat_ws(",", F.concat(text(key), F.lit("　")), text(amount), text(amount % 1000), text(amount % 77), F.lit("x"))
+    head = ("年齢[歳],合　計[人],男性合計[人],女性合計[人],備考",)
+    members = archive_members(_land_archives(_monthly_lines(spark, sf_dir, line), head), r"(\d{6})towns\.csv")
+    facts = wide_evidence(members).filter(is_whole_number(F.col("value")))
+    return facts.groupBy("year_month", "sex").agg(
+        F.count("*").alias("n"), F.min("age").alias("first_age"), F.sum(F.col("value").cast("bigint")).alias("value")
+    )
+
+
+AGE_EVIDENCE_SQL = """
+with w as (select strftime(o_orderdate, '%Y%m') as year_month, o_orderkey::varchar as age,
+    floor(o_totalprice)::bigint as a from orders)
+select year_month, sex, count(*) as n, min(age) as first_age, sum(value)::bigint as value from (
+  select year_month, age, '合計' as sex, a as value from w
+  union all select year_month, age, '男性', a % 1000 from w
+  union all select year_month, age, '女性', a % 77 from w
+) group by 1, 2
+"""
+
 # ---- NDJSON -------------------------------------------------------------------------------------------------------
 
 
@@ -456,6 +502,8 @@ QUERIES = {
     "row_filters": row_filters,
     "ingest_outcomes": ingest_outcomes,
     "archive_member_scan": archive_member_scan,
+    "town_evidence": town_evidence,
+    "age_evidence": age_evidence,
     "ndjson_typed_scan": ndjson_typed_scan,
     "empty_source_scan": empty_source_scan,
     "ndjson_round_trip": ndjson_round_trip,
@@ -469,6 +517,8 @@ SQL = {
     "row_filters": FILTERS_SQL,
     "ingest_outcomes": OUTCOMES_SQL,
     "archive_member_scan": ARCHIVE_SQL,
+    "town_evidence": TOWN_EVIDENCE_SQL,
+    "age_evidence": AGE_EVIDENCE_SQL,
     "ndjson_typed_scan": TYPED_SQL,
     "empty_source_scan": EMPTY_SQL,
     "ndjson_round_trip": ROUND_SQL,

@@ -79,8 +79,9 @@ def latest_period_top(spark: SparkSession, sf_dir: str) -> DataFrame:
     """NDJSON with a declared schema -> cleaned series, stored -> the ten largest towns of the latest month."""
     path = scratch_path(spark, "towns")
     write_ndjson(town_rows(spark, sf_dir), path)
-    mart = spool(marts.by_town(read_ndjson(spark, path, marts.series_schema("by_town"))))
-    detail = series.detail_rows(mart, "area_level", "丁目").withColumn("month", F.trunc("survey_month", "month"))
+    mart = marts.by_town(read_ndjson(spark, path, marts.series_schema("by_town")))
+    stored = spool(mart.withColumn("month", F.trunc("survey_month", "month")))
+    detail = series.detail_rows(stored, "area_level", "丁目")
     top = series.latest_top(detail, "month", "total", 10, ties=["households"])
     return top.select(text("month").alias("survey_month"), "town", "town_name", "chome", "households", "total")
 

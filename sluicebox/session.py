@@ -79,10 +79,13 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def spool(df: DataFrame) -> DataFrame:
-    """As ``settle`` for larger results: a columnar table in the shared folder, so readers can prune columns."""
+def spool(df: DataFrame, by: str | None = None) -> DataFrame:
+    """As ``settle`` for larger results: a columnar table in the shared folder, so readers can prune columns.
+
+    With ``by`` the table has one folder per value, and a reader that filters on it opens no other.
+    """
     path = scratch_path(df.sparkSession, "spool")
-    df.write.parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
