@@ -89,18 +89,24 @@ def spool(df: DataFrame, by: str | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def is_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
-    """Whether the text of all values of ``df`` measures at most ``limit`` bytes. Runs a job: settle ``df`` first."""
+def measure(df: DataFrame) -> tuple[int, int]:
+    """Rows and bytes of text of ``df``. Runs a job: settle ``df`` first."""
     per_row = F.lit(16)
     for name in df.columns:
         per_row = per_row + F.coalesce(F.octet_length(F.col(f"`{name}`").cast("string")), F.lit(0))
-    return df.agg(F.coalesce(F.sum(per_row.cast("long")), F.lit(0)).alias("bytes")).first()["bytes"] <= limit
+    total = F.coalesce(F.sum(per_row.cast("long")), F.lit(0))
+    found = df.agg(F.count("*").alias("rows"), total.alias("bytes")).first()
+    return found["rows"], found["bytes"]
 
 
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """Settle ``df`` and mark it for broadcast only if its measured size stays under ``limit``.
+def may_broadcast(n_bytes: int) -> bool:
+    return n_bytes <= BROADCAST_BYTES
+
+
+def broadcast_if_small(df: DataFrame) -> DataFrame:
+    """Settle ``df`` and mark it for broadcast only if its measured size stays under ``BROADCAST_BYTES``.
 
     Beyond the limit the join is an ordinary shuffle join, where adaptive execution splits skewed partitions.
     """
     settled = settle(df)
-    return F.broadcast(settled) if is_small(settled, limit) else settled
+    return F.broadcast(settled) if may_broadcast(measure(settled)[1]) else settled
