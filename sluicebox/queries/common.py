@@ -26,6 +26,8 @@ def grouped(number: Column) -> Column:
 
 def choose(key: Column, *choices: Column | str | None) -> Column:
     """The choice at ``key`` modulo their number."""
+    if not any(isinstance(choice, Column) for choice in choices):
+        return F.get(F.array(*[F.lit(choice) for choice in choices]), (key % len(choices)).cast("int"))
     picked = F.lit(None).cast("string")
     for n, choice in enumerate(choices):
         value = F.lit(choice) if choice is None or isinstance(choice, str) else choice
