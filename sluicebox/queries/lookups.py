@@ -38,9 +38,9 @@ select distinct trim(address) as address from (
 
 
 def cache(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Known addresses: those of even parts."""
+    """Known addresses: those of the smaller parts."""
     key = F.col("p_partkey")
-    return table(spark, sf_dir, "part").filter(key % 2 == 0).select(
+    return table(spark, sf_dir, "part").filter(F.col("p_size") <= 25).select(
         _name("p_partkey").alias("address"),
         F.when(key % 7 != 0, choose(F.floor(key / 2), *ACCEPTED_LEVELS)).alias("geo_level"),
         (key % 10 + 30).cast("double").alias("geo_lat"),
@@ -52,7 +52,7 @@ _LEVELS = """case {k} % 4 when 0 then 'residential_detail' when 1 then 'resident
 CACHE_SQL = f"""
 select '住所' || p_partkey as address, case when p_partkey % 7 <> 0 then {_LEVELS.format(k="(p_partkey // 2)")} end as geo_level,
   (p_partkey % 10 + 30)::double as geo_lat
-from part where p_partkey % 2 = 0
+from part where p_size <= 25
 """
 
 
@@ -109,8 +109,7 @@ def lookup_attach(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit(" Tokyo   A"), text(key), F.lit("\t")).alias("query"),
     )
     number = F.col("o_custkey")
-    answered = F.col("o_orderkey") % 3 != 0
-    results = table(spark, sf_dir, "orders").filter(answered).select(
+    results = table(spark, sf_dir, "orders").filter(F.col("o_orderstatus") != "P").select(
         F.concat(F.lit("Tokyo A"), text(number)).alias("input"),
         choose(F.col("o_orderkey"), *ACCEPTED_LEVELS, "city").alias("coordinate_level"),
         (F.col("o_orderkey") % 10 + 30).cast("double").alias("lat"),
@@ -122,7 +121,7 @@ def lookup_attach(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ATTACH_SQL = """
-with r as (select o_custkey, max(o_orderkey) as k from orders where o_orderkey % 3 <> 0 group by 1),
+with r as (select o_custkey, max(o_orderkey) as k from orders where o_orderstatus <> 'P' group by 1),
 a as (select c_custkey, k, case k % 5 when 0 then 'residential_detail' when 1 then 'residential_block'
     when 2 then 'machiaza_detail' when 3 then 'machiaza' when 4 then 'city' end as level
   from customer left join r on o_custkey = c_custkey)
@@ -159,7 +158,7 @@ def level_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
 def lookup_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole round: addresses in use, cache misses, answers for some of them, and the current records."""
     key = F.col("p_partkey")
-    results = table(spark, sf_dir, "part").filter(key % 2 == 1).select(
+    results = table(spark, sf_dir, "part").filter(F.col("p_size") > 25).select(
         F.concat(F.lit("東京都中央区住所"), text(key)).alias("input"),
         choose(key, *ACCEPTED_LEVELS, *REJECTED_LEVELS).alias("coordinate_level"),
         (key % 10 + 30).cast("double").alias("lat"),
@@ -175,7 +174,7 @@ REFRESH_SQL = f"""
 with answers as (select '住所' || p_partkey as address, (p_partkey % 10 + 30)::double as lat,
     case p_partkey % 7 when 0 then 'residential_detail' when 1 then 'residential_block' when 2 then 'machiaza_detail'
       when 3 then 'machiaza' end as level
-  from part where p_partkey % 2 = 1)
+  from part where p_size > 25)
 select u.address, coalesce(c.geo_level, a.level) as geo_level,
   coalesce(c.geo_lat, case when a.level is not null then a.lat end) as geo_lat
 from ({IN_USE_SQL}) u left join ({CACHE_SQL}) c on c.address = u.address left join answers a on a.address = u.address

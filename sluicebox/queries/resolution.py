@@ -2,7 +2,7 @@
 
 Six months of 1998 hold every row twice. January's copies differ and the evidence names the originals; February's are
 identical; March has no evidence; in April the evidence holds a third value for some keys; in May it names the copies;
-in June it is incomplete. Keys are written with full-width letters and values with separators, unlike the evidence.
+in June it lacks the smaller orders. Keys are written with full-width letters and values with separators, unlike the evidence.
 """
 
 from __future__ import annotations
@@ -41,7 +41,7 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
 def evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
     key, nth = F.col("o_orderkey"), F.col("nth")
     true = F.col("cents") + F.when((nth == 4) & (key % 10 == 0), 5).when(nth == 5, 1).otherwise(0)
-    held = nth.isNull() | ((nth != 3) & ~((nth == 6) & (key % 10 == 0)))
+    held = nth.isNull() | ((nth != 3) & ~((nth == 6) & (F.col("cents") < 5_000_000)))
     return _base(spark, sf_dir).filter(held).select(
         F.date_format("month", "yyyyMM").alias("survey_month"),
         F.concat(F.lit("T"), text(key)).alias("town"),
@@ -95,7 +95,7 @@ with base as (
 ), evidence as (
   select distinct strftime(month, '%Y%m') as ym, 'T' || k as nk,
     (cents + case when nth = 4 and k % 10 = 0 then 5 when nth = 5 then 1 else 0 end)::varchar as nv
-  from base where nth is null or (nth <> 3 and not (nth = 6 and k % 10 = 0))
+  from base where nth is null or (nth <> 3 and not (nth = 6 and cents < 5000000))
 ), dup as (
   select survey_month, ym, count(*) as n_rows, count(distinct nk) as n_keys from records group by 1, 2
   having count(*) > count(distinct nk)
