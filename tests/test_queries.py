@@ -6,6 +6,7 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from oracle import compare, connect
+from sluicebox.queries import all_queries, all_sql
 
 SF_DIR = "/root/testdata/sf0.001"
 WITHOUT_SQL = {"normalise_text"}
@@ -18,11 +19,12 @@ def connection():
 
 
 def test_only_what_sql_cannot_say_lacks_an_oracle():
-    assert set(queries()) - set(oracle_sql()) == WITHOUT_SQL
+    assert set(all_queries()) - set(all_sql()) == WITHOUT_SQL
     assert set(oracle_sql()) <= set(queries())
+    assert set(all_queries()) <= set(queries())
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(all_sql()))
 def test_query_agrees_with_its_sql(spark, connection, name):
     assert compare(spark, connection, name, queries()[name], oracle_sql()[name], SF_DIR) is None
 
