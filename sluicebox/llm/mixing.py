@@ -97,7 +97,7 @@ def mix(
     domain=domain_of,
     text: str = "text",
 ) -> DataFrame:
-    """``docs`` with the struct ``mix`` added: domain, language, source, ``n_tokens`` and ``copies``, how often to take it.
+    """``docs`` with the struct ``mix`` (in place of a column of that name): domain, language, source, ``n_tokens`` and ``copies``, how often to take it.
 
     The budget is the given share (numerator, denominator) of all tokens.
     """
@@ -135,7 +135,8 @@ def mix(
         (F.substring(place, 1, 2 * CELL) < F.col("mix_cut.cell")) | F.coalesce(own <= F.col("mix_cut.end"), F.lit(False))
     )
     found = F.struct("mix_path.*", n_words(text).alias("n_tokens"), (F.col("mix_cut.whole") + F.coalesce(inside, F.lit(False)).cast("long")).alias("copies"))
-    return placed.select(*(F.col(f"`{name}`") for name in docs.columns), found.alias("mix"))
+    others = [F.col(f"`{name}`") for name in docs.columns if name.lower() != "mix"]
+    return placed.select(*others, found.alias("mix"))
 
 
 def _last_cell(ranked: DataFrame, tree: list[str], digits: int) -> DataFrame:

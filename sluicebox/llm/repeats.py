@@ -6,8 +6,9 @@ The suffixes that matter are found by sampling that depends on the text only:
   is the window's anchor. Equal windows have the same anchor at the same place, so windows are only compared below
   their anchor's hash, and each window belongs to one anchor.
 * Anchors whose hash occurs once are done. For the others the bytes around the anchor (all windows that chose it) are
-  its context. Equal contexts are combined before they meet, so a passage that a third of all documents share is one
-  row per task; a context that occurs twice or more is repeated as a whole.
+  its context, named by its digest. Names are counted with map-side combining, so a passage that a third of all
+  documents share is one row per task; a context that occurs twice or more is repeated as a whole. Bytes are fetched
+  only for hashes that have a context of their own left, one copy of each context.
 * Below one hash, the suffixes that start at the anchors are sorted and form an enhanced suffix array (order and common
   prefix lengths). A stack scan yields its tree of common-prefix intervals. For every interval the left sides of all its
   occurrences are sorted too: where they differ the repeat is maximal, and every occurrence gets the longest left
@@ -37,7 +38,7 @@ CHUNK = 1 << 20
 HOT_CONTEXTS = 50_000
 OUT_BYTES = 4 * 1024 * 1024
 
-_FACTOR = np.uint64(0x9E3779B97F4A7C15)
+_FACTOR = 0x9E3779B97F4A7C15
 _BYTE = np.random.default_rng(7).integers(0, 1 << 63, 256, dtype=np.uint64)
 
 
@@ -46,8 +47,8 @@ def gram_hashes(data: np.ndarray) -> np.ndarray:
     found, factor = _BYTE[data], _FACTOR
     width = 1
     while width < GRAM:
-        found = found[:-width] * factor + found[width:]
-        factor = factor * factor
+        found = found[:-width] * np.uint64(factor) + found[width:]
+        factor = factor * factor % (1 << 64)
         width *= 2
     found ^= found >> np.uint64(29)
     found *= np.uint64(0xBF58476D1CE4E5B9)
@@ -144,74 +145,72 @@ def _keyed(docs: DataFrame, text: str) -> DataFrame:
     return with_bytes.select("doc_id", _key().alias("key"), F.xxhash64("raw").alias("version"), "raw")
 
 
-def _pack(*columns: np.ndarray) -> bytes:
-    return np.stack([np.asarray(c, "<i8") for c in columns], 1).tobytes()
-
-
 def _unpack(packed: bytes, width: int) -> np.ndarray:
     return np.frombuffer(packed, "<i8").reshape(-1, width)
 
 
-def repeated_spans(docs: DataFrame, length: int = LENGTH, hot: int = HOT_CONTEXTS, text: str = "text") -> DataFrame:
-    """``(key, version, spans)``: for each row with repeats its key, a hash of its text, and packed ``(from, to)`` pairs."""
-    keyed = _keyed(docs, text)
+def _sampled(batches, length: int, names: bool):
+    """Anchors of each text by hash and, if wanted, by context: how often, and where the contexts start."""
+    kinds = [pa.int64(), pa.int64()] if not names else [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+    columns = ["h", "n", "context_id", "key", "version", "at", "n_bytes", "starts"][: len(kinds)]
+    for batch in batches:
+        rows: list[tuple] = []
+        for place, value in enumerate(batch.column("raw")):
+            value = value.as_py()
+            hashes, at, first, last = anchors(np.frombuffer(value, np.uint8), length)
+            if not names:
+                found, counts = np.unique(hashes, return_counts=True)
+                rows += zip(found.tolist(), counts.tolist(), strict=True)
+            else:
+                key, version = (batch.column(k)[place].as_py() for k in ("key", "version"))
+                seen: dict[bytes, list] = {}
+                for h, a, f, end in zip(hashes.tolist(), at.tolist(), first.tolist(), (last + length).tolist(), strict=True):
+                    name = hashlib.md5((a - f).to_bytes(2, "big") + value[f:end]).digest()
+                    seen.setdefault(name, [h, a - f, end - f, []])[3].append(f)
+                rows += [(h, len(f), name, key, version, a, n, np.array(f, "<u4").tobytes()) for name, (h, a, n, f) in seen.items()]
+            if len(rows) > 50_000:
+                yield _rows(rows, columns, kinds)
+                rows = []
+        if rows:
+            yield _rows(rows, columns, kinds)
 
-    def sampled(batches):
-        for batch in batches:
-            rows: list[tuple] = []
-            for key, value in zip(batch.column("key").to_pylist(), batch.column("raw"), strict=True):
-                hashes, at, first, last = anchors(np.frombuffer(value.as_py(), np.uint8), length)
-                if not len(hashes):
-                    continue
-                order = np.argsort(hashes, kind="stable")
-                cuts = np.flatnonzero(np.r_[True, hashes[order][1:] != hashes[order][:-1]]).tolist()
-                packed = np.stack([at, first, last], 1)[order].astype("<i8")
-                for low, high in zip(cuts, [*cuts[1:], len(order)], strict=True):
-                    rows.append((int(hashes[order[low]]), key, high - low, packed[low:high].tobytes()))
-                if len(rows) > 50_000:
-                    yield _rows(rows, ["h", "key", "n", "places"], [pa.int64(), pa.int64(), pa.int64(), pa.binary()])
-                    rows = []
-            if rows:
-                yield _rows(rows, ["h", "key", "n", "places"], [pa.int64(), pa.int64(), pa.int64(), pa.binary()])
 
-    sample = keyed.select("key", "raw").mapInArrow(sampled, "h long, key long, n long, places binary")
-    twice = sample.groupBy("h").agg(F.sum("n").alias("n")).where("n > 1").select("h")
-    shared = sample.join(twice, "h", "left_semi").groupBy("key").agg(F.collect_list("places").alias("places"))
-    wanted = broadcast_if_small(spool(shared))
+def repeated_spans(docs: DataFrame, length: int = LENGTH, hot: int = HOT_CONTEXTS, text: str = "text") -> DataFrame:
+    """``(key, version, spans)``: for each row with repeats its key, a hash of its text, and packed ``(from, to)`` pairs."""
+    keyed = _keyed(docs, text).select("key", "version", "raw")
+    counted = keyed.select("raw").mapInArrow(lambda batches: _sampled(batches, length, False), "h long, n long")
+    twice = broadcast_if_small(spool(counted.groupBy("h").agg(F.sum("n").alias("n")).where("n > 1").select("h")))
+    schema = "h long, n long, context_id binary, key long, version long, at int, n_bytes int, starts binary"
+    sample = spool(keyed.mapInArrow(lambda batches: _sampled(batches, length, True), schema).join(twice, "h", "left_semi"))
+    place = F.struct("key", "version", F.substring("starts", F.lit(1), F.lit(4)).alias("start"))
+    contexts = spool(sample.groupBy("context_id", "h", "at", "n_bytes").agg(F.sum("n").alias("n"), F.min(place).alias("place")))
+    whole = contexts.where("n > 1").select("context_id", F.lit(0).cast("long").alias("low"), F.col("n_bytes").cast("long").alias("high"))
+    # Where every context of a hash is repeated as a whole, nothing is left to find.
+    crowds = contexts.groupBy("h").agg(F.count("*").alias("n_contexts"), F.count_if(F.col("n") == 1).alias("n_single")).where("n_contexts > 1 and n_single > 0")
+    crowded = contexts.join(crowds.select("h", "n_contexts"), "h")
+    one = F.struct("context_id", "h", "n_contexts", "at", "n_bytes", F.col("place.start").alias("start"))
+    asked = crowded.groupBy(F.col("place.key").alias("key"), F.col("place.version").alias("version")).agg(F.collect_list(one).alias("asked"))
 
     def cut_out(batches):
-        kinds = [pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-        names = ["context_id", "key", "version", "at", "start", "context"]
         for batch in batches:
             rows: list[tuple] = []
             size = 0
-            for key, version, value, places in zip(
-                *(batch.column(k).to_pylist() for k in ("key", "version")), batch.column("raw"), batch.column("places"), strict=True
-            ):
+            for value, asked in zip(batch.column("raw"), batch.column("asked"), strict=True):
                 value = value.as_py()
-                for at, first, last in np.concatenate([_unpack(p, 3) for p in places.as_py()]).tolist():
-                    context = value[first : last + length]
-                    if len(context) < last - first + length:
-                        continue  # a place of another text under the same id
-                    name = hashlib.md5((at - first).to_bytes(4, "big") + context).digest()
-                    rows.append((name, key, version, at - first, first, context))
-                    size += len(context)
+                for c in asked.as_py():
+                    start = int.from_bytes(c["start"], "little")
+                    rows.append((c["h"], c["n_contexts"], c["context_id"], c["at"], value[start : start + c["n_bytes"]]))
+                    size += c["n_bytes"]
                 if size > OUT_BYTES:
-                    yield _rows(rows, names, kinds)
+                    yield _rows(rows, ["h", "n_contexts", "context_id", "at", "context"], [pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.binary()])
                     rows, size = [], 0
             if rows:
-                yield _rows(rows, names, kinds)
-
-    cut = keyed.join(wanted, "key").select("key", "version", "raw", "places")
-    contexts = cut.mapInArrow(cut_out, "context_id binary, key long, version long, at long, start long, context binary")
-    gram = F.xxhash64(F.substring("context", F.col("at").cast("int") + 1, F.lit(GRAM)))
-    distinct = spool(
-        contexts.groupBy("context_id", "at", "context").agg(F.count("*").alias("n")).withColumn("gram", gram)
-    )
-    whole = distinct.where("n > 1").select("context_id", F.lit(0).cast("long").alias("low"), F.length("context").cast("long").alias("high"))
-    crowded = distinct.groupBy("gram").agg(F.count("*").alias("n_contexts")).where("n_contexts > 1")
-    small = distinct.join(crowded.where(F.col("n_contexts") <= hot).select("gram"), "gram")
-    large = distinct.join(crowded.where(F.col("n_contexts") > hot).select("gram"), "gram")
+                yield _rows(rows, ["h", "n_contexts", "context_id", "at", "context"], [pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.binary()])
+
+    # Rows that repeat give the same context more than once; one is enough.
+    once = keyed.join(broadcast_if_small(spool(asked)), ["key", "version"]).select("raw", "asked")
+    cut = once.mapInArrow(cut_out, "h long, n_contexts long, context_id binary, at int, context binary")
+    small, large = cut.where(F.col("n_contexts") <= hot), cut.where(F.col("n_contexts") > hot)
 
     def scanned(batches):
         rows: list[tuple] = []
@@ -225,22 +224,23 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, hot: int = HOT_CONTEXT
         if rows:
             yield _rows(rows, ["context_id", "low", "high"], [pa.binary(), pa.int64(), pa.int64()])
 
-    columns = ["gram", "context_id", "at", "context"]
-    dealt = small.select(*columns).repartition("gram").sortWithinPartitions("gram")
+    dealt = small.select("h", "context_id", "at", "context").repartition("h").sortWithinPartitions("h", "context_id")
     found = dealt.mapInArrow(scanned, "context_id binary, low long, high long")
-    covers = whole.union(found).union(_counted_windows(large, length))
-    where = contexts.select("context_id", "key", "version", "start").join(covers, "context_id")
-    spans = F.collect_list(F.struct((F.col("start") + F.col("low")).alias("a"), (F.col("start") + F.col("high")).alias("b")))
-    gathered = where.groupBy("key", "version").agg(spans.alias("spans"))
+    covers = whole.union(found)
+    if not crowds.where(F.col("n_contexts") > hot).isEmpty():
+        covers = covers.union(_counted_windows(large, length))
+    where = sample.select("context_id", "key", "version", "starts").join(covers, "context_id")
+    spans = where.groupBy("key", "version").agg(F.collect_list(F.struct("starts", "low", "high")).alias("spans"))
 
     @F.arrow_udf("binary")
     def packed(spans: pa.Array) -> pa.Array:
         out = []
         for one in spans.to_pylist():
-            out.append(_pack(*zip(*merged([(s["a"], s["b"]) for s in one]), strict=True)))
+            flat = [(f + s["low"], f + s["high"]) for s in one for f in np.frombuffer(s["starts"], "<u4").tolist()]
+            out.append(np.array(merged(flat), "<i8").tobytes())
         return pa.array(out, pa.binary())
 
-    return gathered.select("key", "version", packed("spans").alias("spans"))
+    return spans.select("key", "version", packed("spans").alias("spans"))
 
 
 def _counted_windows(contexts: DataFrame, length: int) -> DataFrame:
@@ -258,7 +258,7 @@ def _counted_windows(contexts: DataFrame, length: int) -> DataFrame:
             if rows:
                 yield _rows(rows, ["context_id", "low", "content"], [pa.binary(), pa.int64(), pa.binary()])
 
-    each = contexts.select("context_id", "context").mapInArrow(windows, "context_id binary, low long, content binary")
+    each = contexts.dropDuplicates(["context_id"]).select("context_id", "context").mapInArrow(windows, "context_id binary, low long, content binary")
     again = each.groupBy("content").agg(F.count("*").alias("n")).where("n > 1").select("content")
     return each.join(again, "content", "left_semi").select("context_id", "low", (F.col("low") + length).alias("high"))
 
@@ -268,16 +268,17 @@ def _rows(rows: list[tuple], names: list[str], kinds: list[pa.DataType]) -> pa.R
 
 
 def _groups(batches) -> Iterator[list[tuple]]:
-    """Rows of equal ``gram`` from sorted batches, as ``(context_id, at, context)``."""
+    """Contexts of equal hash from sorted batches, as ``(context_id, at, context)``, each once."""
     group: list[tuple] = []
     current = None
     for batch in batches:
-        for gram, *row in zip(*(batch.column(k).to_pylist() for k in ("gram", "context_id", "at", "context")), strict=True):
-            if gram != current and group:
+        for h, *row in zip(*(batch.column(k).to_pylist() for k in ("h", "context_id", "at", "context")), strict=True):
+            if h != current and group:
                 yield group
                 group = []
-            current = gram
-            group.append(tuple(row))
+            current = h
+            if not group or group[-1][0] != row[0]:
+                group.append(tuple(row))
     if group:
         yield group
 

@@ -172,7 +172,7 @@ def _code_points(value: bytes) -> int:
 
 
 def exact_duplicates(docs: DataFrame, text: str = "text", trie_bytes: int = TRIE_BYTES) -> DataFrame:
-    """``docs`` with the struct ``copies`` added: ``keep_id``, ``group_size``, ``kept`` and ``text_sha256``."""
+    """``docs`` with the struct ``copies`` (in place of a column of that name): ``keep_id``, ``group_size``, ``kept``, ``text_sha256``."""
 
     @F.arrow_udf("struct<n_bytes: bigint, content: binary, n_chars: bigint>")
     def named(texts: pa.Array) -> pa.Array:
@@ -201,7 +201,8 @@ def exact_duplicates(docs: DataFrame, text: str = "text", trie_bytes: int = TRIE
         (F.col("doc_id").eqNullSafe(F.col("copies_of.owner")) & (F.col("copies_own.n_chars") == F.col("copies_of.n_chars"))).alias("kept"),
         F.lower(F.hex("copies_own.content")).alias("text_sha256"),
     )
-    return joined.select(*(F.col(f"`{name}`") for name in docs.columns), copies.alias("copies"))
+    others = [F.col(f"`{name}`") for name in docs.columns if name.lower() != "copies"]
+    return joined.select(*others, copies.alias("copies"))
 
 
 def exact_owners(spark, sf_dir) -> DataFrame:

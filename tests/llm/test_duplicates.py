@@ -118,12 +118,11 @@ def test_gray_index_finds_every_link(spark, cell_rows):
         for b in listed[:i]:
             if (a ^ b).bit_count() <= 4:
                 sets.join(b, a)
-    frame = spark.createDataFrame([(c - (1 << 64) if c >> 63 else c,) for c in listed], "code long").checkpoint() if spark.sparkContext.getCheckpointDir() else spark.createDataFrame([(c - (1 << 64) if c >> 63 else c,) for c in listed], "code long")
+    frame = spark.createDataFrame([(c - (1 << 64) if c >> 63 else c,) for c in listed], "code long")
     edges = simhash.hamming_forest(frame, 4, cell_rows).collect()
     ours = Sets()
     mask = (1 << 64) - 1
     for r in edges:
-        assert ((r["a"] ^ r["b"]) & mask).bit_count() <= 64
         ours.join(r["a"] & mask, r["b"] & mask)
     groups = lambda s: {frozenset(x for x in listed if s.root(x) == r) for r in {s.root(x) for x in listed}}
     assert groups(ours) == groups(sets)
@@ -146,7 +145,7 @@ def plain_repeats(rows, length):
             if count[text[i : i + length]] > 1:
                 gone[i : i + length] = b"\1" * length
         kept = bytes(b for b, g in zip(text, gone, strict=True) if not g)
-        runs = len(re.findall(rb"\1+", bytes(gone)))
+        runs = len(re.findall(rb"\x01+", bytes(gone)))
         out.append((doc_id, len(text), sum(gone), runs, hashlib.sha256(kept).hexdigest()))
     return sorted(out, key=repr)
 
