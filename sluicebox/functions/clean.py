@@ -68,11 +68,11 @@ def flags(names: Iterable[str]) -> dict[str, Column]:
 
 
 def whole_number(text: Column, type_name: str = "bigint") -> Column:
-    """Text as an integer; a fraction is rounded half away from zero, other text is NULL."""
+    """Text as an integer; a fraction is rounded half away from zero. Other text and what does not fit is NULL."""
     fraction = _matching(text, _SMALL_EXPONENT)
     # Up to fifteen characters a double holds every digit; longer text goes through decimals, which are slower.
     real = fraction.try_cast("double")
-    short = F.signum(real) * F.floor(F.abs(real) + 0.5)
+    short = F.round(real, 0)
     long = F.round(fraction.try_cast("decimal(38,18)"), 0)
     rounded = F.when(F.length(text) <= 15, short.try_cast(type_name)).otherwise(long.try_cast(type_name))
     return F.coalesce(_matching(text, _INTEGER).try_cast(type_name), rounded)

@@ -26,14 +26,14 @@ def clean_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw.withColumn("day", text(clean.lenient_date(F.col("written"))))
 
 
+# The day itself, where its spelling is one that is read.
 DATES_SQL = """
-with w as (select o_orderkey, case o_orderkey % 7
+select o_orderkey, case o_orderkey % 7
     when 0 then strftime(o_orderdate, '%Y-%m-%d') when 1 then strftime(o_orderdate, '%Y/%-m/%-d')
     when 2 then strftime(o_orderdate, '%Y.%-m.%-d') when 3 then strftime(o_orderdate, '%Y-%m')
-    when 4 then '令和8年4月' when 5 then '' else strftime(o_orderdate, '%Y-%-m-%-d') end as written
-  from orders)
-select o_orderkey, written, coalesce(try_cast(written as date), try_strptime(written, '%Y/%m/%d')::date,
-  try_strptime(written, '%Y.%m.%d')::date)::varchar as day from w
+    when 4 then '令和8年4月' when 5 then '' else strftime(o_orderdate, '%Y-%-m-%-d') end as written,
+  case when o_orderkey % 7 in (0, 1, 2, 6) then strftime(o_orderdate, '%Y-%m-%d') end as day
+from orders
 """
 
 
@@ -59,7 +59,9 @@ select {_FLAG.format(c="a")} as for_flood, {_FLAG.format(c="b")} as for_tsunami,
 def clean_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("l_orderkey") * 7 + F.col("l_linenumber")
     number = F.floor("l_extendedprice")
-    counted = choose(key, grouped(number), text(number), F.concat(text(number), F.lit(".5")), "-", "")
+    counted = choose(
+        key, grouped(number), text(number), F.concat(text(number), F.lit(".5")), "-", "", "1e19", "1e30", "-1e30"
+    )
     degrees = choose(
         key,
         F.concat(text(key % 90), F.lit("."), F.lpad(text(key % 100), 2, "0")),
@@ -94,22 +96,15 @@ def clean_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# What each spelling is worth, from the numbers it was made of.
 NUMBERS_SQL = """
-with k as (select l_returnflag, l_orderkey * 7 + l_linenumber as k, floor(l_extendedprice)::bigint as v from lineitem),
-w as (select l_returnflag,
-  case k % 5 when 0 then format('{:,}', v) when 1 then v::varchar when 2 then v || '.5' when 3 then '-' else '' end as counted,
-  case k % 4 when 0 then (k % 90) || '.' || lpad((k % 100)::varchar, 2, '0') when 1 then (k % 90) || 'd'
-    when 2 then '1e2' else '北緯35度' end as degrees,
-  case when k % 6 = 0 then '丁目' else repeat(substr('０１２３４５６７８９', (k % 10 + 1)::int, 1), 2) end as chome,
-  ' ' || (k % 100) || '　' as age,
-  case k % 3 when 0 then '' when 1 then 'x' end as named
-  from k)
-select l_returnflag, try_cast(translate(chome, '０１２３４５６７８９', '0123456789') as integer) as chome,
-  count(*) as n, sum(try_cast(replace(counted, ',', '') as bigint))::bigint as counted,
-  count(try_cast(degrees as double)) as n_degrees, max(try_cast(degrees as double)) as max_degrees,
-  sum(try_cast(replace(replace(age, '　', ''), ' ', '') as integer))::bigint as ages,
-  count(nullif(named, '')) as n_named
-from w group by 1, 2
+with k as (select l_returnflag, l_orderkey * 7 + l_linenumber as k, floor(l_extendedprice)::bigint as v from lineitem)
+select l_returnflag, case when k % 6 <> 0 then ((k % 10) * 11)::integer end as chome, count(*) as n,
+  sum(case when k % 8 < 2 then v when k % 8 = 2 then v + 1 end)::bigint as counted,
+  count(*) filter (where k % 4 in (0, 2)) as n_degrees,
+  max(case k % 4 when 0 then (k % 90) + (k % 100) / 100.0::double when 2 then 100 end) as max_degrees,
+  sum(k % 100)::bigint as ages, count(*) filter (where k % 3 = 1) as n_named
+from k group by 1, 2
 """
 
 
