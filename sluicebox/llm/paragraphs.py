@@ -11,8 +11,15 @@ clusters are the connected components of the links, and all but the first paragr
   words; all pairs of a bucket are checked exactly by products of 0/1 matrices, block by block, and a spanning forest of
   the links is all that leaves a task. A bucket too large for a task is dealt out as pairs of chunks.
 
-Every row's whole text is cut. Null and empty texts and shorter lines have no paragraphs and give no rows. Rows that
-repeat are copies of each other; rows without an id stay only if all of their cluster have none.
+Passages that sit inside lines, with other words around them, are no paragraphs of their own. They are cut by content:
+in every ``PASSAGE_STARTS`` neighbouring places of a text the one with the least hash of its next four words starts a
+piece of ``PIECE_WORDS`` words, line ends or not. Any 50 equal words of two texts thus hold an equal piece. Pieces that
+two rows or more share are paragraphs too, named by their words, and all but their first places are to be removed;
+overlapping pieces of a text whose first place lies in the same document are shown as one passage. At the edge of a
+passage the words around it can choose one more piece, which only some of the rows share.
+
+Every row's whole text is cut. Null and empty texts, shorter lines and texts without shared pieces give no rows. Rows
+that repeat are copies of each other; rows without an id stay only if all of their cluster have none.
 """
 
 from __future__ import annotations
@@ -22,13 +29,14 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluicebox.llm.cells import deal
 from sluicebox.llm.common import raw, table
 from sluicebox.llm.components import components
 from sluicebox.llm.simhash import Forest
+from sluicebox.llm.stats import SPACE
 from sluicebox.session import broadcast_if_small, spool
 
 MIN_WORDS, SHINGLE, THRESHOLD = 50, 5, 0.8
@@ -36,6 +44,9 @@ RECALL, LOW, FALSE = 0.999, 0.3, 0.15
 CELL_ROWS = 2_000
 BLOCK = 512
 OUT_ROWS = 2_000
+PIECE_WORDS, PASSAGE_STARTS, START_WORDS = 40, 11, 4
+KNOWN_WORDS = 1 << 20
+_FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
 
 def tune(threshold: float = THRESHOLD, recall: float = RECALL, low: float = LOW, false: float = FALSE) -> tuple[int, int]:
@@ -213,6 +224,107 @@ def duplicate_paragraphs(docs: DataFrame, threshold: float = THRESHOLD, cell_row
     )
 
 
+class _WordHashes(dict):
+    """Hashes of words; only a cache, emptied when it is large."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= KNOWN_WORDS:
+            self.clear()
+        self[word] = found = xxhash.xxh64_intdigest(word, 5)
+        return found
+
+
+def _rolled(values: np.ndarray, size: int, factor: int) -> np.ndarray:
+    """A hash of every ``size`` neighbours, put together from runs of 1, 2, 4 and so on."""
+    found, done, run, width = None, 0, values, 1
+    while True:
+        if size & width:
+            n = len(values) - done - width + 1
+            found = run if found is None else found[:n] * np.uint64(pow(factor, width, 1 << 64)) + run[done : done + n]
+            done += width
+        if 2 * width > size:
+            return found ^ (found >> np.uint64(32))
+        run = run[:-width] * np.uint64(pow(factor, width, 1 << 64)) + run[width:]
+        width *= 2
+
+
+def pieces(text: bytes, known: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Numbers of the words that start a piece, each piece once, and two hashes of the piece."""
+    words = text.lower().split()
+    if len(words) < PIECE_WORDS + PASSAGE_STARTS - 1:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    ids = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+    starts = _rolled(ids, START_WORDS, _FACTORS[0])[: len(ids) - PIECE_WORDS + 1] * np.uint64(_FACTORS[1])
+    least = np.lib.stride_tricks.sliding_window_view(starts, PASSAGE_STARTS).argmin(1)
+    at = np.unique(least + np.arange(len(least)))
+    p, q = (_rolled(ids, PIECE_WORDS, factor)[at].view(np.int64) for factor in _FACTORS)
+    _, first = np.unique(p, return_index=True)
+    return at[first], p[first], q[first]
+
+
+def shared_passages(docs: DataFrame, text: str = "text") -> DataFrame:
+    """Every passage of at least 40 words that other rows hold too: its place, where it is first, whether this one goes."""
+
+    def names(batches):
+        known = _WordHashes()
+        for batch in batches:
+            found = [pieces(value.as_py(), known)[1] for value in batch.column("raw")]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, np.int64), *found]))], ["p"])
+
+    def places(batches):
+        known = _WordHashes()
+        for batch in batches:
+            held, size = [], 0
+            columns = ["doc_id", "version", "word", "start", "stop", "p", "q"]
+            for doc_id, version, value in zip(batch.column("doc_id").to_pylist(), batch.column("version").to_pylist(), batch.column("raw"), strict=True):
+                value = value.as_py()
+                at, p, q = pieces(value, known)
+                if not len(at):
+                    continue
+                inside = np.r_[False, ~SPACE[np.frombuffer(value, np.uint8)], False]
+                edges = np.flatnonzero(inside[1:] != inside[:-1])
+                begins, ends = edges[::2], edges[1::2]
+                ids = pa.array([doc_id], pa.int64()).take(pa.array(np.zeros(len(at), np.int64)))
+                numbers = (np.full(len(at), version), at, begins[at], ends[at + PIECE_WORDS - 1], p, q)
+                held.append(pa.RecordBatch.from_arrays([ids, *(pa.array(n, pa.int64()) for n in numbers)], columns))
+                size += len(at)
+                if size > 50_000:
+                    yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+                    held, size = [], 0
+            if held:
+                yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(raw(text)).alias("version"), raw(text).alias("raw"))
+    counted = texts.select("raw").mapInArrow(names, "p long").groupBy("p").agg(F.count("*").alias("n"))
+    twice = broadcast_if_small(spool(counted.where("n > 1").select("p")))
+    schema = "doc_id long, version long, word long, start long, stop long, p long, q long"
+    found = spool(texts.mapInArrow(places, schema).join(twice, "p", "left_semi").select("doc_id", "version", "word", "start", "stop", "p", "q"))
+    place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "start")
+    shared = found.groupBy("p", "q").agg(F.count("*").alias("cluster_size"), F.min(place).alias("keep")).where("cluster_size > 1")
+    once = found.dropDuplicates(["doc_id", "version", "word"])
+    stays = F.col("doc_id").eqNullSafe(F.col("keep.doc_id")) & (F.col("start") == F.col("keep.start"))
+    judged = once.join(broadcast_if_small(shared), ["p", "q"]).withColumn("removed", ~stays)
+    along = Window.partitionBy("doc_id", "version").orderBy("word")
+    apart = F.col("word") > F.lag("word").over(along) + PIECE_WORDS
+    differs = ~F.lag("keep.doc_id").over(along).eqNullSafe(F.col("keep.doc_id")) | (F.lag("removed").over(along) != F.col("removed"))
+    begins = F.when(F.lag("word").over(along).isNull() | apart | differs, 1).otherwise(0)
+    runs = judged.withColumn("begins", begins).withColumn("run", F.sum("begins").over(along))
+    name = F.lower(F.concat(F.lpad(F.hex("p"), 16, "0"), F.lpad(F.hex("q"), 16, "0")))
+    first = F.min(F.struct("word", "start", name.alias("cluster_id"), "cluster_size", "keep")).alias("first")
+    whole = runs.groupBy("doc_id", "version", "run").agg(first, F.max("stop").alias("stop"), F.max("word").alias("last"), F.first("removed").alias("removed"))
+    return whole.select(
+        "doc_id",
+        F.col("first.start").alias("start"),
+        (F.col("stop") - F.col("first.start")).alias("n_bytes"),
+        (F.col("last") + PIECE_WORDS - F.col("first.word")).alias("n_words"),
+        "first.cluster_id", "first.cluster_size",
+        F.col("first.keep.doc_id").alias("keep_doc_id"), F.col("first.keep.start").alias("keep_start"),
+        "removed",
+    )
+
+
 def repeated_paragraphs(spark, sf_dir) -> DataFrame:
-    """Every paragraph of the documents that has a near copy."""
-    return duplicate_paragraphs(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    """Every paragraph of the documents that has a near copy, and every shared passage inside other paragraphs."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    lines = duplicate_paragraphs(docs).withColumn("kind", F.lit("line"))
+    return lines.unionByName(shared_passages(docs).withColumn("kind", F.lit("passage")), allowMissingColumns=True)

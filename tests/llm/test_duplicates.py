@@ -241,3 +241,46 @@ def test_bands_are_tuned_for_recall():
 def test_hex_of_a_name_is_the_same_in_spark(spark):
     row = spark.createDataFrame([(-5, 7)], "p long, q long")
     assert row.select(F.lower(F.concat(F.lpad(F.hex("p"), 16, "0"), F.lpad(F.hex("q"), 16, "0")))).first()[0] == paragraphs._hex(-5, 7)
+
+
+def test_shared_passages_equal_brute_force(spark):
+    rng = random.Random(3)
+
+    def prose(n):
+        return ["".join(rng.choices("abcdefgh", k=5)) for _ in range(n)]
+
+    passages = [prose(50), prose(51), prose(70)]
+    spliced = []
+    for k in range(30):
+        words, cut = prose(rng.randrange(20, 120)), rng.randrange(20)
+        inner = passages[k % 3]
+        parts = [*words[:cut], *(w.upper() if rng.random() < 0.1 else w for w in inner), *words[cut:]]
+        spliced.append((2000 + k, "".join(w + rng.choice([" ", "\n", "  "]) for w in parts)))
+    clean = [(3000 + k, " ".join(prose(200))) for k in range(10)]
+    given = documents(spark) + ODD + spliced + clean
+    found = paragraphs.shared_passages(odd_frame(spark, documents(spark) + spliced + clean)).collect()
+
+    words = [(doc_id, (text or "").encode().lower().split()) for doc_id, text in given]
+    holders = defaultdict(set)
+    for size in (40, 50):
+        for row, (_, w) in enumerate(words):
+            for k in range(len(w) - size + 1):
+                holders[tuple(w[k : k + size])].add(row)
+    shown = {r["doc_id"] for r in found}
+    must = {words[row][0] for piece, rows in holders.items() if len(piece) == 50 and len(rows) > 1 for row in rows}
+    may = {words[row][0] for piece, rows in holders.items() if len(piece) == 40 and len(rows) > 1 for row in rows}
+    assert must <= shown <= may
+    assert {2000 + k for k in range(30)} <= shown and not shown & {3000 + k for k in range(10)}
+    texts = defaultdict(list)
+    for doc_id, text in given:
+        texts[doc_id].append((text or "").encode())
+    for r in found:
+        own = [t[r["start"] : r["start"] + r["n_bytes"]].lower().split() for t in texts[r["doc_id"]]]
+        kept = [t[r["keep_start"] :].lower().split()[:40] for t in texts[r["keep_doc_id"]]]
+        assert any(len(w) == r["n_words"] and w[:40] in kept for w in own)
+    # All later holders of a passage that was spliced in point at the first, which points at no other document.
+    made = [r for r in found if 2000 <= r["doc_id"] < 2030]
+    assert all((r["keep_doc_id"] - r["doc_id"]) % 3 == 0 and r["removed"] == (r["keep_doc_id"] != r["doc_id"]) for r in made)
+    first = {r["doc_id"] for r in made if r["removed"] and r["keep_doc_id"] == 2000 + (r["doc_id"] - 2000) % 3}
+    assert first == set(range(2003, 2030)) and not any(r["removed"] for r in made if r["doc_id"] < 2003)
+    assert paragraphs.shared_passages(odd_frame(spark).limit(0)).count() == 0
