@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluicebox.llm.cells import deal
-from sluicebox.llm.common import raw, table
+from sluicebox.llm.common import raw, slices, table
 from sluicebox.llm.components import components
 from sluicebox.llm.simhash import Forest
 from sluicebox.llm.stats import SPACE
@@ -45,7 +45,7 @@ CELL_ROWS = 2_000
 BLOCK = 512
 OUT_ROWS = 2_000
 PIECE_WORDS, PASSAGE_STARTS, START_WORDS = 40, 11, 4
-KNOWN_WORDS = 1 << 20
+BLOCK_WORDS = 1 << 16
 _FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
 
@@ -224,75 +224,101 @@ def duplicate_paragraphs(docs: DataFrame, threshold: float = THRESHOLD, cell_row
     )
 
 
-class _WordHashes(dict):
-    """Hashes of words; only a cache, emptied when it is large."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= KNOWN_WORDS:
-            self.clear()
-        self[word] = found = xxhash.xxh64_intdigest(word, 5)
-        return found
-
-
-def _rolled(values: np.ndarray, size: int, factor: int) -> np.ndarray:
-    """A hash of every ``size`` neighbours, put together from runs of 1, 2, 4 and so on."""
-    found, done, run, width = None, 0, values, 1
-    while True:
-        if size & width:
-            n = len(values) - done - width + 1
-            found = run if found is None else found[:n] * np.uint64(pow(factor, width, 1 << 64)) + run[done : done + n]
-            done += width
-        if 2 * width > size:
-            return found ^ (found >> np.uint64(32))
-        run = run[:-width] * np.uint64(pow(factor, width, 1 << 64)) + run[width:]
-        width *= 2
-
-
-def pieces(text: bytes, known: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Numbers of the words that start a piece, each piece once, and two hashes of the piece."""
-    words = text.lower().split()
-    if len(words) < PIECE_WORDS + PASSAGE_STARTS - 1:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-    ids = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-    starts = _rolled(ids, START_WORDS, _FACTORS[0])[: len(ids) - PIECE_WORDS + 1] * np.uint64(_FACTORS[1])
-    least = np.lib.stride_tricks.sliding_window_view(starts, PASSAGE_STARTS).argmin(1)
-    at = np.unique(least + np.arange(len(least)))
-    p, q = (_rolled(ids, PIECE_WORDS, factor)[at].view(np.int64) for factor in _FACTORS)
-    _, first = np.unique(p, return_index=True)
-    return at[first], p[first], q[first]
+class _Powers:
+    """Powers of an odd factor and of its inverse modulo 2**64, as many as were asked for so far."""
+
+    def __init__(self, factor: int):
+        self.both = factor, pow(factor, -1, 1 << 64)
+        self.held = [np.ones(0, np.uint64), np.ones(0, np.uint64)]
+
+    def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if n > len(self.held[0]):
+            size = 1 << n.bit_length()
+            self.held = [np.cumprod(np.r_[np.uint64(1), np.full(size - 1, f, np.uint64)], dtype=np.uint64) for f in self.both]
+        return self.held[0][:n], self.held[1][:n]
+
+
+def _byte_values(seed: int) -> np.ndarray:
+    """A random number for every byte; letters count as lower case, and all white space is the same."""
+    found = np.random.default_rng(seed).integers(0, 1 << 63, 256, dtype=np.uint64)
+    found[65:91] = found[97:123]
+    found[SPACE] = found[32]
+    return found
+
+
+class PieceFinder:
+    """Finds the pieces of texts. A run of words is hashed by sums of bytes times powers, from running sums."""
+
+    def __init__(self):
+        self.kinds = [(_byte_values(seed), _Powers(factor)) for seed, factor in enumerate(_FACTORS)]
+
+    def find(self, texts: list[bytes]) -> tuple[np.ndarray, ...]:
+        """Of every piece, once per text: text, number of the first word, first byte, end, and two hashes."""
+        data = np.frombuffer(b" ".join(texts), np.uint8)
+        offsets = np.cumsum([0, *(len(text) + 1 for text in texts)])
+        inside = np.r_[False, ~SPACE[data], False]
+        edges = np.flatnonzero(inside[1:] != inside[:-1])
+        begins, ends = edges[::2], edges[1::2]
+        owner = np.searchsorted(offsets, begins, side="right") - 1
+        reach = PIECE_WORDS + PASSAGE_STARTS - 1
+        parts = [(np.zeros(0, np.int64),) * 3]
+        for low in range(0, len(begins) - reach + 1, BLOCK_WORDS):
+            some = slice(low, low + BLOCK_WORDS + reach - 1)
+            at, p, q = self._of_words(data, inside[1:], begins[some], ends[some], owner[some])
+            parts.append((at + low, p, q))
+        at, p, q = (np.concatenate(part) for part in zip(*parts, strict=True))
+        order = np.lexsort((at, p, owner[at]))
+        at, p, q = at[order], p[order], q[order]
+        of = owner[at]
+        fresh = np.ones(len(at), bool)
+        fresh[1:] = (of[1:] != of[:-1]) | (p[1:] != p[:-1])
+        at, of = at[fresh], of[fresh]
+        word = at - np.searchsorted(owner, of)
+        return of, word, begins[at] - offsets[of], ends[at + PIECE_WORDS - 1] - offsets[of], p[fresh], q[fresh]
+
+    def _of_words(self, data, inside, begins, ends, owner):
+        low, high = begins[0], ends[-1]
+        kept = inside[low:high].copy()
+        kept[1:] |= inside[low : high - 1]  # each word with one byte of the white space after it
+        squeezed = data[low:high][kept]
+        after = np.cumsum(ends - begins + 1)
+        start, end = after - (ends - begins + 1), after - 1
+        sums = []
+        for values, powers in self.kinds:
+            up, down = powers.upto(len(squeezed))
+            sums.append((np.r_[np.uint64(0), np.cumsum(values[squeezed] * up, dtype=np.uint64)], down))
+
+        def hashed(kind: int, first: np.ndarray, size: int) -> np.ndarray:
+            total, down = sums[kind]
+            found = (total[end[first + size - 1]] - total[start[first]]) * down[start[first]]
+            return (found ^ (found >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+
+        least = hashed(0, np.arange(len(begins) - PIECE_WORDS + 1), START_WORDS)
+        chosen = np.lib.stride_tricks.sliding_window_view(least, PASSAGE_STARTS).argmin(1)
+        reach = PIECE_WORDS + PASSAGE_STARTS - 1
+        within = owner[: len(chosen)] == owner[reach - 1 :]
+        at = np.unique((chosen + np.arange(len(chosen)))[within])
+        return at, hashed(0, at, PIECE_WORDS).view(np.int64), hashed(1, at, PIECE_WORDS).view(np.int64)
 
 
 def shared_passages(docs: DataFrame, text: str = "text") -> DataFrame:
     """Every passage of at least 40 words that other rows hold too: its place, where it is first, whether this one goes."""
 
     def names(batches):
-        known = _WordHashes()
+        finder = PieceFinder()
         for batch in batches:
-            found = [pieces(value.as_py(), known)[1] for value in batch.column("raw")]
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, np.int64), *found]))], ["p"])
+            texts = batch.column("raw")
+            for low, high in slices(texts):
+                yield pa.RecordBatch.from_arrays([pa.array(finder.find(texts[low:high].to_pylist())[4])], ["p"])
 
     def places(batches):
-        known = _WordHashes()
+        finder = PieceFinder()
         for batch in batches:
-            held, size = [], 0
-            columns = ["doc_id", "version", "word", "start", "stop", "p", "q"]
-            for doc_id, version, value in zip(batch.column("doc_id").to_pylist(), batch.column("version").to_pylist(), batch.column("raw"), strict=True):
-                value = value.as_py()
-                at, p, q = pieces(value, known)
-                if not len(at):
-                    continue
-                inside = np.r_[False, ~SPACE[np.frombuffer(value, np.uint8)], False]
-                edges = np.flatnonzero(inside[1:] != inside[:-1])
-                begins, ends = edges[::2], edges[1::2]
-                ids = pa.array([doc_id], pa.int64()).take(pa.array(np.zeros(len(at), np.int64)))
-                numbers = (np.full(len(at), version), at, begins[at], ends[at + PIECE_WORDS - 1], p, q)
-                held.append(pa.RecordBatch.from_arrays([ids, *(pa.array(n, pa.int64()) for n in numbers)], columns))
-                size += len(at)
-                if size > 50_000:
-                    yield from pa.Table.from_batches(held).combine_chunks().to_batches()
-                    held, size = [], 0
-            if held:
-                yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            texts = batch.column("raw")
+            for low, high in slices(texts):
+                of, *numbers = finder.find(texts[low:high].to_pylist())
+                named = [batch.column(c).take(pa.array(of + low)) for c in ("doc_id", "version")]
+                yield pa.RecordBatch.from_arrays([*named, *map(pa.array, numbers)], ["doc_id", "version", "word", "start", "stop", "p", "q"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(raw(text)).alias("version"), raw(text).alias("raw"))
     counted = texts.select("raw").mapInArrow(names, "p long").groupBy("p").agg(F.count("*").alias("n"))
