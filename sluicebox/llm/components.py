@@ -2,7 +2,8 @@
 
 Every round is two shuffle joins and two hash aggregations that combine on the map side, so a node that a third of all
 edges meet costs one row per task. Labels are written to the shared folder after each round: a lost executor re-reads
-files. Nothing is collected but one count per round.
+files. Nothing is collected but one count per round. Both directions of an edge come from one reading of ``edges``: a
+spanning forest computed a second time may be another one, and half of each would not join its components.
 """
 
 from __future__ import annotations
@@ -18,8 +19,9 @@ def components(edges: DataFrame) -> DataFrame:
 
     Null ends and loops are ignored; an empty table gives no rows.
     """
-    one_way = edges.where(F.col("a") != F.col("b")).select("a", "b")
-    both = spool(one_way.union(one_way.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    ends = F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
+    one_way = edges.where(F.col("a") != F.col("b"))
+    both = spool(one_way.select(F.explode(ends).alias("edge")).select("edge.a", "edge.b").distinct())
     labels = spool(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("a")).alias("root")))
     while True:
         seen = both.join(labels, both.b == labels.node).groupBy(F.col("a").alias("node")).agg(F.min("root").alias("near"))

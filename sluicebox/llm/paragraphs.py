@@ -173,7 +173,7 @@ def paragraph_links(found: DataFrame, threshold: float = THRESHOLD, cell_rows: i
     dealt = deal(spool(kept), ["band", "value"], F.struct("p", "q"), cell_rows)
     keys = ["band", "value", "cell_i", "cell_j"]
     columns = [*keys, "p", "q", "words"]
-    cells = dealt.join(words, ["p", "q"]).select(*columns).repartition(*keys).sortWithinPartitions(*keys)
+    cells = dealt.join(words, ["p", "q"]).select(*columns).repartition(*keys).sortWithinPartitions(*keys, "p", "q")
 
     def linked(batches):
         def edges(cell):

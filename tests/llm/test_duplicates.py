@@ -6,6 +6,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -135,6 +136,19 @@ def test_components_of_chains_stars_and_loops(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_components_of_a_forest_that_differs_at_every_reading(spark):
+    def star(batches):
+        for batch in batches:
+            nodes = batch.column("id").to_pylist()
+            middle = random.SystemRandom().choice(nodes)
+            rest = [n for n in nodes if n != middle]
+            yield pa.RecordBatch.from_arrays([pa.array([middle] * len(rest)), pa.array(rest)], ["a", "b"])
+
+    edges = spark.range(0, 40, 1, 1).mapInArrow(star, "a long, b long")
+    for _ in range(3):
+        assert {(r["node"], r["root"]) for r in components(edges).collect()} == {(k, 0) for k in range(40)}
+
+
 def plain_repeats(rows, length):
     texts = [(t or "").encode() for _, t in rows]
     count = Counter(t[i : i + length] for t in texts for i in range(len(t) - length + 1))
