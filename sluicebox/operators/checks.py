@@ -42,18 +42,41 @@ def coverage(
     )
 
 
+def coverages(df: DataFrame, rules: Mapping[str, tuple[Column, Column, float]]) -> DataFrame:
+    """One row for each of the named ``(whole, part, floor)`` rules that fails, all from one reading."""
+    counted = [
+        F.struct(
+            F.lit(name).alias("check_name"),
+            F.count_if(whole).alias("whole_rows"),
+            F.count_if(part).alias("part_rows"),
+            F.lit(floor).alias("floor"),
+        )
+        for name, (whole, part, floor) in rules.items()
+    ]
+    each = df.agg(F.array(*counted).alias("each")).select(F.inline("each"))
+    ratio = F.try_divide(F.col("part_rows").cast("double"), F.col("whole_rows"))
+    return each.withColumn("ratio", ratio).filter(F.col("ratio") < F.col("floor")).drop("floor")
+
+
+def source_parts(lat: str = "lat", lon: str = "lon") -> tuple[Column, Column]:
+    """Rows with a published coordinate pair, and rows that show it."""
+    return F.col(lat).isNotNull() & F.col(lon).isNotNull(), F.col("geo_source").isin(SOURCE, SWAPPED)
+
+
+def lookup_parts(address: str = "address") -> tuple[Column, Column]:
+    """Rows with an address, and those of them with a coordinate."""
+    addressed = F.nullif(sql_trim(F.col(address)), F.lit("")).isNotNull()
+    return addressed, addressed & F.col("geo_lat").isNotNull()
+
+
 def source_coverage(df: DataFrame, floor: float = 0.95, lat: str = "lat", lon: str = "lon") -> DataFrame:
     """Published coordinate pairs that made it onto the map."""
-    published = F.col(lat).isNotNull() & F.col(lon).isNotNull()
-    return coverage(
-        df, published, F.col("geo_source").isin(SOURCE, SWAPPED), floor, ("source_rows", "adopted_rows")
-    )
+    return coverage(df, *source_parts(lat, lon), floor, ("source_rows", "adopted_rows"))
 
 
 def lookup_coverage(df: DataFrame, floor: float = 0.90, address: str = "address") -> DataFrame:
     """Rows with an address that have a coordinate."""
-    addressed = F.nullif(sql_trim(F.col(address)), F.lit("")).isNotNull()
-    return coverage(df, addressed, addressed & F.col("geo_lat").isNotNull(), floor, ("address_rows", "located_rows"))
+    return coverage(df, *lookup_parts(address), floor, ("address_rows", "located_rows"))
 
 
 def geo_consistency(df: DataFrame, **names: str) -> DataFrame:

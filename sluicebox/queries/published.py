@@ -14,7 +14,7 @@ from sluicebox.plans import marts
 from sluicebox.plans import publish as publication
 from sluicebox.queries import geography
 from sluicebox.queries.common import cents, choose, grouped, table, text
-from sluicebox.queries.timelines import AGE_MART_SQL, TOWN_MART_SQL, TOWN_SQL, age_rows, town_rows
+from sluicebox.queries.timelines import AGE_MART_SQL, TOWN_MART_SQL, age_rows, town_rows
 from sluicebox.session import scratch_path
 
 FLAG_WORDS = (*FLAG_TRUE, *FLAG_FALSE, "?", "")
@@ -72,39 +72,29 @@ def _raw_facility(spark: SparkSession, sf_dir: str, source: catalog.FacilitySour
 
 
 def _facility_sql(source: catalog.FacilitySource) -> str:
-    flag = "case when {c} in ('1', '○', '〇', '有') then true when {c} in ('0', '×', '無') then false end as {c}"
-    special = {
+    n_words, n_true, n_known = len(FLAG_WORDS), len(FLAG_TRUE), len(FLAG_TRUE + FLAG_FALSE)
+    exact = {
         "category": "case c_custkey % 2 when 0 then '民間' else '学校' end",
         "name": "c_name",
         "address": geography.ADDRESS_SQL,
-        "lat": geography.LAT_SQL,
-        "lon": geography.LON_SQL,
-        "elevation": "(c_custkey % 60) || '.5'",
+        "elevation": "(c_custkey % 60 + 0.5)::double",
     }
     for n, name in enumerate(source.flags):
-        words = " ".join(f"when {m} then '{word}'" for m, word in enumerate(FLAG_WORDS))
-        special[name] = f"case (c_custkey + {n}) % {len(FLAG_WORDS)} {words} end"
-    raw = []
-    for n, name in enumerate(marts.facility_schema(source).fieldNames()):
-        plain = f"case when c_custkey % {n + 2} <> 0 then '{name}-' || c_custkey end"
-        raw.append(f"{special.get(name, plain)} as {name}")
-    raw_sql = f"select c_custkey, {', '.join(raw)} from customer"
-    numbers = [name for name in ("lat", "lon", "elevation") if name in source.columns]
-    replaced = ", ".join(f"try_cast({name} as double) as {name}" for name in numbers)
-    typed = f"select * replace ({replaced}) from ({raw_sql})"
-    joined = f"""select f.*, g.geo_lat as g_lat, g.geo_lon as g_lon, g.geo_level as g_level
-      from ({typed}) f left join ({geography.LOOKUP_SQL}) g on g.address = trim(f.address)"""
+        word = f"(c_custkey + {n}) % {n_words}"
+        exact[name] = f"case when {word} < {n_true} then true when {word} < {n_known} then false end"
+    number = {name: n for n, name in enumerate(marts.facility_schema(source).fieldNames())}
     out = []
     for name in marts.facility_columns(source):
-        if name in source.flags:
-            out.append(flag.format(c=name))
-        elif name == "geometry":
-            out.append("case when geo_lat is not null then geo_lon end as x, geo_lat as y")
-        elif name == "extras" or name.startswith("source_"):
-            out.append(f"_{name} as {name}")
-        else:
+        raw = f"_{name}" if name == "extras" or name.startswith("source_") else name
+        if name == "geometry":
+            out.append("geo_lon as x, geo_lat as y")
+        elif name in ("lat", "lon", *geography.SHOWN):
             out.append(name)
-    return f"select {', '.join(out)} from ({geography.select_geo_sql(joined, 'lat', 'lon', True)})"
+        elif name in exact:
+            out.append(f"{exact[name]} as {name}")
+        else:
+            out.append(f"case when c_custkey % {number[raw] + 2} <> 0 then '{raw}-' || c_custkey end as {name}")
+    return f"select {', '.join(out)} from customer join ({geography.PLACED_SQL}) using (c_custkey)"
 
 
 def _facility_query(dataset_id: str) -> Callable[[SparkSession, str], DataFrame]:
