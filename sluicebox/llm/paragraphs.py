@@ -1,12 +1,16 @@
 """Near-duplicate paragraphs: MinHash banding, exact Jaccard, one paragraph of every cluster stays.
 
-A paragraph is a line of at least ``MIN_WORDS`` words (lower-cased A-Z, runs of non-white bytes); its shingles are the
-sets of five consecutive words. Two paragraphs link when the Jaccard similarity of their shingle sets is 0.8 or more;
+A paragraph is a line with a word (words are runs of non-white bytes, A-Z in lower case); its shingles are the sets of
+five consecutive words, and a line of fewer is one exact unit named by its words. In a text with blank lines, lines are
+also joined up to the next blank one, and these wrapped paragraphs are compared among each other in the same way; in a
+text without any, a line end ends a paragraph. ``min_words`` leaves shorter paragraphs out; the query leaves out none.
+Two paragraphs link when the Jaccard similarity of their shingle sets is 0.8 or more;
 clusters are the connected components of the links, and all but the first paragraph of a cluster are to be removed.
 
 * ``tune`` picks the fewest rows and bands that find a pair at the threshold with the wanted recall while few
   dissimilar pairs collide.
-* Paragraphs with the same words are one node, so exact copies never meet in a bucket.
+* Paragraphs with the same words are one node, so exact copies never meet in a bucket. A task spreads the bands and words
+  of a node once, and none for fewer words than a shingle has, as only equal ones are alike.
 * Buckets with two or more nodes are kept, buckets with the same members once. Their members come together with their
   words; all pairs of a bucket are checked exactly by products of 0/1 matrices, block by block, and a spanning forest of
   the links is all that leaves a task. A bucket too large for a task is dealt out as pairs of chunks.
@@ -18,13 +22,14 @@ two rows or more share are paragraphs too, named by their words, and all but the
 overlapping pieces of a text whose first place lies in the same document are shown as one passage. At the edge of a
 passage the words around it can choose one more piece, which only some of the rows share.
 
-Every row's whole text is cut. Null and empty texts, shorter lines and texts without shared pieces give no rows. Rows
+Every row's whole text is cut. Null and empty texts and paragraphs and pieces without a like give no rows. Rows
 that repeat are copies of each other; rows without an id stay only if all of their cluster have none.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -43,7 +48,8 @@ MIN_WORDS, SHINGLE, THRESHOLD = 50, 5, 0.8
 RECALL, LOW, FALSE = 0.999, 0.3, 0.15
 CELL_ROWS = 2_000
 BLOCK = 512
-OUT_ROWS = 2_000
+OUT_ROWS, OUT_WORDS, NAMES = 2_000, 200_000, 100_000
+MATRIX = 1 << 24
 PIECE_WORDS, PASSAGE_STARTS, START_WORDS = 40, 11, 4
 BLOCK_WORDS = 1 << 16
 _FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
@@ -60,17 +66,33 @@ def tune(threshold: float = THRESHOLD, recall: float = RECALL, low: float = LOW,
     return min(fitting)[1:]
 
 
-def _split(text: bytes) -> list[tuple[int, int, int, list[bytes]]]:
-    """``(number, start, n_bytes, words)`` of the paragraphs of a text."""
+def _split(text: bytes, min_words: int = MIN_WORDS) -> list[tuple[int, int, int, int, list[bytes]]]:
+    """``(number, start, n_bytes, n_lines, words)`` of the lines of a text."""
     found, start = [], 0
     for number, line in enumerate(text.split(b"\n")):
         words = line.lower().split()
-        if len(words) >= MIN_WORDS:
-            found.append((number, start, len(line), words))
+        if len(words) >= max(min_words, 1):
+            found.append((number, start, len(line), 1, words))
         start += len(line) + 1
     return found
 
 
+def _joined(text: bytes, min_words: int = MIN_WORDS) -> list[tuple[int, int, int, int, list[bytes]]]:
+    """As ``_split`` for the lines between blank lines, joined; none if there is no blank line."""
+    lines = _split(text, 1)
+    if len(lines) == text.count(b"\n") + 1:
+        return []
+    found: list[tuple[int, int, int, int, list[bytes]]] = []
+    for number, start, n_bytes, _, words in lines:
+        if found and sum(found[-1][k] for k in (0, 3)) == number:
+            first, begin, _, n_lines, before = found[-1]
+            before += words
+            found[-1] = (first, begin, start + n_bytes - begin, n_lines + 1, before)
+        else:
+            found.append((number, start, n_bytes, 1, words))
+    return [one for one in found if len(one[4]) >= min_words]
+
+
 def shingles(words: list[bytes], size: int = SHINGLE) -> set[bytes]:
     return {b" ".join(words[k : k + size]) for k in range(max(len(words) - size + 1, 1))}
 
@@ -98,61 +120,78 @@ class MinHash:
         return values.view(np.int64)
 
 
-def paragraphs(docs: DataFrame, text: str = "text") -> DataFrame:
-    """One row per paragraph: where it is, the name of its words (two longs), its words and its band values."""
+def paragraphs(docs: DataFrame, text: str = "text", min_words: int = MIN_WORDS, wrapped: bool = False) -> DataFrame:
+    """One row per paragraph: where it is, the name of its words (two longs), its words and its band values.
+
+    Words and bands are null where the task has given them for the same words before, or where there is no shingle.
+    """
     bands, rows = tune()
+    split = _joined if wrapped else _split
 
     def cut(batches):
         hasher = MinHash(bands, rows)
+        named: set[bytes] = set()
         for batch in batches:
             held: list[tuple] = []
             sets: list[list[int]] = []
+            size = 0
 
             def out():
                 columns = list(zip(*held, strict=True))
-                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-                names = ["doc_id", "paragraph", "start", "n_bytes", "n_words", "p", "q", "words"]
-                values = hasher.band_values(sets)
-                flat = pa.ListArray.from_arrays(np.arange(0, values.size + 1, bands, dtype=np.int32), pa.array(values.ravel()))
+                kinds = [pa.int64()] * 8 + [pa.binary()]
+                names = ["doc_id", "paragraph", "start", "n_bytes", "n_lines", "n_words", "p", "q", "words"]
+                values = hasher.band_values(sets) if sets else np.zeros((0, bands), np.int64)
+                spread = np.array([line is not None for line in columns[-1]])
+                ends = np.r_[0, np.cumsum(spread) * bands].astype(np.int32)
+                flat = pa.ListArray.from_arrays(pa.array(ends, mask=np.r_[~spread, False]), pa.array(values.ravel()))
                 return pa.RecordBatch.from_arrays([*(pa.array(c, k) for c, k in zip(columns, kinds, strict=True)), flat], [*names, "bands"])
 
             for doc_id, value in zip(batch.column("doc_id").to_pylist(), batch.column("raw"), strict=True):
-                for number, start, n_bytes, words in _split(value.as_py()):
+                for number, start, n_bytes, n_lines, words in split(value.as_py(), min_words):
                     line = b" ".join(words)
                     name = hashlib.md5(line).digest()
                     p, q = (int.from_bytes(half, "big", signed=True) for half in (name[:8], name[8:]))
-                    held.append((doc_id, number, start, n_bytes, len(words), p, q, line))
-                    sets.append([xxhash.xxh64_intdigest(s) for s in shingles(words)])
-                    if len(held) >= OUT_ROWS:
+                    fresh = len(words) >= SHINGLE and name not in named
+                    if fresh:
+                        if len(named) >= NAMES:
+                            named.clear()
+                        named.add(name)
+                        sets.append([xxhash.xxh64_intdigest(s) for s in shingles(words)])
+                        size += len(words)
+                    held.append((doc_id, number, start, n_bytes, n_lines, len(words), p, q, line if fresh else None))
+                    if len(held) >= OUT_ROWS or size >= OUT_WORDS:
                         yield out()
-                        held, sets = [], []
+                        held, sets, size = [], [], 0
             if held:
                 yield out()
 
-    schema = "doc_id long, paragraph long, start long, n_bytes long, n_words long, p long, q long, words binary, bands array<long>"
+    places = "doc_id long, paragraph long, start long, n_bytes long, n_lines long, n_words long, p long, q long"
+    schema = f"{places}, words binary, bands array<long>"
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), raw(text).alias("raw")).mapInArrow(cut, schema)
 
 
 def _linked(texts: list[bytes], threshold: float) -> np.ndarray:
     """The root of each text in the forest of all links among them."""
     sets = [shingles(text.split(b" ")) for text in texts]
-    numbers: dict[bytes, int] = {}
-    ids = [[numbers.setdefault(s, len(numbers)) for s in one] for one in sets]
-    sizes = np.array([len(one) for one in ids], np.float32)
+    often = Counter(s for one in sets for s in one)
+    numbers = {s: k for k, s in enumerate(s for s, n in often.items() if n > 1)}  # the others are common to no pair
+    ids = [[numbers[s] for s in one if s in numbers] for one in sets]
+    sizes = np.array([len(one) for one in sets], np.float32)
     forest = Forest(len(ids))
+    block = max(min(BLOCK, MATRIX // max(len(numbers), 1)), 1)
 
     def matrix(low: int) -> np.ndarray:
-        part = ids[low : low + BLOCK]
+        part = ids[low : low + block]
         out = np.zeros((len(part), len(numbers)), np.float32)
         for row, one in enumerate(part):
             out[row, one] = 1
         return out
 
-    for low in range(0, len(ids), BLOCK):
+    for low in range(0, len(ids), block):
         left = matrix(low)
-        for other in range(low, len(ids), BLOCK):
+        for other in range(low, len(ids), block):
             both = left @ (left if other == low else matrix(other)).T
-            either = sizes[low : low + BLOCK, None] + sizes[None, other : other + BLOCK] - both
+            either = sizes[low : low + block, None] + sizes[None, other : other + block] - both
             a, b = np.nonzero(both >= threshold * either - 1e-4)
             forest.join(a + low, b + other)
     return forest.roots()
@@ -169,7 +208,7 @@ def paragraph_links(found: DataFrame, threshold: float = THRESHOLD, cell_rows: i
     once = same.groupBy("n", "x", "y").agg(F.min(F.struct("band", "value")).alias("bucket")).select("bucket.*")
     kept = members.join(once, ["band", "value"], "left_semi")
     names = broadcast_if_small(spool(members.select("p", "q").distinct()))
-    words = found.join(names, ["p", "q"], "left_semi").groupBy("p", "q").agg(F.any_value("words").alias("words"))
+    words = found.where("words is not null").join(names, ["p", "q"], "left_semi").groupBy("p", "q").agg(F.any_value("words").alias("words"))
     dealt = deal(spool(kept), ["band", "value"], F.struct("p", "q"), cell_rows)
     keys = ["band", "value", "cell_i", "cell_j"]
     columns = [*keys, "p", "q", "words"]
@@ -205,15 +244,21 @@ def _hex(p: int, q: int) -> str:
     return f"{p & (1 << 64) - 1:016x}{q & (1 << 64) - 1:016x}"
 
 
-def duplicate_paragraphs(docs: DataFrame, threshold: float = THRESHOLD, cell_rows: int = CELL_ROWS, text: str = "text") -> DataFrame:
-    """Every paragraph that has a like: its place, its cluster, the paragraph that stays and whether this one goes."""
-    found = spool(paragraphs(docs, text))
+def duplicate_paragraphs(
+    docs: DataFrame, threshold: float = THRESHOLD, cell_rows: int = CELL_ROWS, text: str = "text", min_words: int = MIN_WORDS, wrapped: bool = False
+) -> DataFrame:
+    """Every paragraph that has a like: its place, its cluster, the paragraph that stays and whether this one goes.
+
+    With ``wrapped`` of joined lines instead of single ones; clusters of paragraphs of one line each are then left out.
+    """
+    found = spool(paragraphs(docs, text, min_words, wrapped))
     roots = components(paragraph_links(found, threshold, cell_rows))
     named = found.drop("words", "bands").withColumn("node", F.lower(F.concat(F.lpad(F.hex("p"), 16, "0"), F.lpad(F.hex("q"), 16, "0"))))
     rooted = named.join(broadcast_if_small(roots), "node", "left").withColumn("root", F.coalesce("root", "node")).drop("node", "p", "q")
     placed = spool(rooted)
     place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "paragraph")
-    clusters = placed.groupBy("root").agg(F.count("*").alias("cluster_size"), F.min(place).alias("keep")).where("cluster_size > 1")
+    clusters = placed.groupBy("root").agg(F.count("*").alias("cluster_size"), F.min(place).alias("keep"), F.max("n_lines").alias("most"))
+    clusters = clusters.where(F.col("cluster_size") > 1).where(F.col("most") > (1 if wrapped else 0))
     both = placed.join(clusters, "root")
     stays = F.col("doc_id").eqNullSafe(F.col("keep.doc_id")) & (F.col("paragraph") == F.col("keep.paragraph"))
     return both.select(
@@ -350,7 +395,8 @@ def shared_passages(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def repeated_paragraphs(spark, sf_dir) -> DataFrame:
-    """Every paragraph of the documents that has a near copy, and every shared passage inside other paragraphs."""
+    """Every line and wrapped paragraph of the documents that has a near copy, and every shared passage inside other paragraphs."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    lines = duplicate_paragraphs(docs).withColumn("kind", F.lit("line"))
-    return lines.unionByName(shared_passages(docs).withColumn("kind", F.lit("passage")), allowMissingColumns=True)
+    lines = duplicate_paragraphs(docs, min_words=1).withColumn("kind", F.lit("line"))
+    wrapped = duplicate_paragraphs(docs, min_words=1, wrapped=True).withColumn("kind", F.lit("wrapped"))
+    return lines.unionByName(wrapped).unionByName(shared_passages(docs).withColumn("kind", F.lit("passage")), allowMissingColumns=True)

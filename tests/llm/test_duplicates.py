@@ -298,3 +298,50 @@ def test_shared_passages_equal_brute_force(spark):
     first = {r["doc_id"] for r in made if r["removed"] and r["keep_doc_id"] == 2000 + (r["doc_id"] - 2000) % 3}
     assert first == set(range(2003, 2030)) and not any(r["removed"] for r in made if r["doc_id"] < 2003)
     assert paragraphs.shared_passages(odd_frame(spark).limit(0)).count() == 0
+
+
+def units_of_any_length(rows, wrapped):
+    for doc_id, text in rows:
+        lines = [re.findall(rb"[^\x20\x09-\x0D]+", line.encode().lower()) for line in (text or "").split("\n")]
+        units = [(n, w) for n, w in enumerate(lines) if w]
+        if wrapped:
+            units = [] if all(lines) else [(n, sum(lines[n : (lines + [[]]).index([], n)], [])) for n, w in units if not n or not lines[n - 1]]
+        for number, words in units:
+            yield doc_id, number, {tuple(words[i : i + 5]) for i in range(max(len(words) - 4, 1))}
+
+
+@pytest.mark.parametrize("wrapped", [False, True])
+def test_paragraphs_of_any_length_equal_brute_force(spark, wrapped):
+    draw = random.Random(12)
+    vocabulary = [f"w{k}" for k in range(300)]
+    base = [draw.choices(vocabulary, k=n) for n in (2, 4, 5, 9, 12, 30, 49, 60, 80)]
+    given = list(ODD)
+    for k in range(70):
+        words = list(draw.choice(base))
+        if len(words) > 20 and k % 2:
+            words[draw.randrange(len(words))] = "changed"
+        lines = [" ".join(words[i : i + 8]) for i in range(0, len(words), 8)] if k % 3 else [" ".join(words)]
+        own = " ".join(draw.choices(vocabulary, k=20))
+        given.append((5000 + k, "\n".join([own, *([""] if k % 7 else []), *lines, " \t", "short line", own[::-1]])))
+    frame = odd_frame(spark, given[len(ODD) :])
+    found = list(units_of_any_length(given, wrapped))
+    sets = Sets()
+    for i, (_, _, a) in enumerate(found):
+        for j in range(i):
+            b = found[j][2]
+            if len(a & b) / len(a | b) >= 0.8:
+                sets.join(i, j)
+    groups = defaultdict(list)
+    for i, (doc_id, number, _) in enumerate(found):
+        groups[sets.root(i)].append((doc_id is None, doc_id, number))
+    want = {(m[1], m[2], len(g), min(g)[1], m != min(g)) for g in groups.values() if len(g) > 1 for m in g}
+    rows = paragraphs.duplicate_paragraphs(frame, min_words=1, wrapped=wrapped).collect()
+    got = {(r["doc_id"], r["paragraph"], r["cluster_size"], r["keep_doc_id"], r["removed"]) for r in rows}
+    texts = dict(given)
+    if wrapped:  # clusters of one-line paragraphs alone are found among the lines
+        many = {r["cluster_id"] for r in rows if (texts[r["doc_id"]] or "").encode()[r["start"] : r["start"] + r["n_bytes"]].count(b"\n")}
+        assert got <= want and {r["cluster_id"] for r in rows} == many and len(many) > 4
+        whole = {(d, n) for d, n, *_ in want if len((texts[d] or "").split("\n")) > n + 1 and (texts[d] or "").split("\n")[n + 1].split()}
+        assert whole <= {g[:2] for g in got}
+    else:
+        assert got == want and {len(texts[d].split("\n")[n].split()) for d, n, *_ in got} >= {2, 4, 5}
