@@ -18,8 +18,9 @@ clusters are the connected components of the links, and all but the first paragr
 Passages that sit inside lines, with other words around them, are no paragraphs of their own. They are cut by content:
 in every ``PASSAGE_STARTS`` neighbouring places of a text the one with the least hash of its next four words starts a
 piece of ``PIECE_WORDS`` words, line ends or not. Any 50 equal words of two texts thus hold an equal piece. Pieces that
-two rows or more share are paragraphs too, named by their words, and all but their first places are to be removed;
-overlapping pieces of a text whose first place lies in the same document are shown as one passage. At the edge of a
+stand at two places or more, in one row or in several, are paragraphs too, named by their words, and all but their first
+places are to be removed; of places in one text that overlap each other, as in ``a a a``, the first counts. Overlapping
+pieces of a text whose first place lies in the same document are shown as one passage. At the edge of a
 passage the words around it can choose one more piece, which only some of the rows share.
 
 Every row's whole text is cut. Null and empty texts and paragraphs and pieces without a like give no rows. Rows
@@ -291,14 +292,28 @@ def _byte_values(seed: int) -> np.ndarray:
     return found
 
 
+def _apart(at: np.ndarray, group: np.ndarray) -> np.ndarray:
+    """Which of the places, sorted by group, begin behind the end of the last such piece of their group."""
+    found, of, free = [], None, 0
+    for place, one in zip(at.tolist(), group.tolist(), strict=True):
+        found.append(one != of or place >= free)
+        if found[-1]:
+            of, free = one, place + PIECE_WORDS
+    return np.array(found, bool)
+
+
 class PieceFinder:
     """Finds the pieces of texts. A run of words is hashed by sums of bytes times powers, from running sums."""
 
-    def __init__(self):
+    def __init__(self, every: bool = False):
+        self.every = every
         self.kinds = [(_byte_values(seed), _Powers(factor)) for seed, factor in enumerate(_FACTORS)]
 
     def find(self, texts: list[bytes]) -> tuple[np.ndarray, ...]:
-        """Of every piece, once per text: text, number of the first word, first byte, end, and two hashes."""
+        """Of every piece, once per text: text, number of the first word, first byte, end, and two hashes.
+
+        With ``every`` at all its places in the text that do not overlap an earlier one.
+        """
         data = np.frombuffer(b" ".join(texts), np.uint8)
         offsets = np.cumsum([0, *(len(text) + 1 for text in texts)])
         inside = np.r_[False, ~SPACE[data], False]
@@ -317,6 +332,10 @@ class PieceFinder:
         of = owner[at]
         fresh = np.ones(len(at), bool)
         fresh[1:] = (of[1:] != of[:-1]) | (p[1:] != p[:-1])
+        if self.every:
+            group = np.cumsum(fresh)
+            many = np.bincount(group)[group] > 1
+            fresh[many] = _apart(at[many], group[many])
         at, of = at[fresh], of[fresh]
         word = at - np.searchsorted(owner, of)
         return of, word, begins[at] - offsets[of], ends[at + PIECE_WORDS - 1] - offsets[of], p[fresh], q[fresh]
@@ -346,18 +365,21 @@ class PieceFinder:
         return at, hashed(0, at, PIECE_WORDS).view(np.int64), hashed(1, at, PIECE_WORDS).view(np.int64)
 
 
-def shared_passages(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Every passage of at least 40 words that other rows hold too: its place, where it is first, whether this one goes."""
+def shared_passages(docs: DataFrame, text: str = "text", every: bool = False) -> DataFrame:
+    """Every passage of at least 40 words that other rows hold too: its place, where it is first, whether this one goes.
+
+    With ``every`` also those that one row holds twice, and all places in a row instead of the first.
+    """
 
     def names(batches):
-        finder = PieceFinder()
+        finder = PieceFinder(every)
         for batch in batches:
             texts = batch.column("raw")
             for low, high in slices(texts):
                 yield pa.RecordBatch.from_arrays([pa.array(finder.find(texts[low:high].to_pylist())[4])], ["p"])
 
     def places(batches):
-        finder = PieceFinder()
+        finder = PieceFinder(every)
         for batch in batches:
             texts = batch.column("raw")
             for low, high in slices(texts):
@@ -399,4 +421,4 @@ def repeated_paragraphs(spark, sf_dir) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     lines = duplicate_paragraphs(docs, min_words=1).withColumn("kind", F.lit("line"))
     wrapped = duplicate_paragraphs(docs, min_words=1, wrapped=True).withColumn("kind", F.lit("wrapped"))
-    return lines.unionByName(wrapped).unionByName(shared_passages(docs).withColumn("kind", F.lit("passage")), allowMissingColumns=True)
+    return lines.unionByName(wrapped).unionByName(shared_passages(docs, every=True).withColumn("kind", F.lit("passage")), allowMissingColumns=True)

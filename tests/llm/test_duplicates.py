@@ -345,3 +345,35 @@ def test_paragraphs_of_any_length_equal_brute_force(spark, wrapped):
         assert whole <= {g[:2] for g in got}
     else:
         assert got == want and {len(texts[d].split("\n")[n].split()) for d, n, *_ in got} >= {2, 4, 5}
+
+
+def test_every_place_of_a_passage_in_one_text_is_shown(spark):
+    draw = random.Random(21)
+
+    def prose(n):
+        return ["".join(draw.choices("abcdefgh", k=5)) for _ in range(n)]
+
+    alone, both = prose(60), prose(60)
+    texts = {
+        7000: [*prose(30), *alone, *prose(30), *alone, *prose(20), *alone],
+        7001: [*prose(15), *both, *prose(25)],
+        7002: [*both, *prose(30), *both, *prose(10)],
+        7003: prose(300),
+        7004: ["z"] * 130,
+    }
+    frame = spark.createDataFrame([(k, " ".join(w)) for k, w in texts.items()], "doc_id long, text string")
+    rows = paragraphs.shared_passages(frame, every=True).collect()
+    spans = defaultdict(list)
+    for r in rows:
+        raw = " ".join(texts[r["doc_id"]])
+        first = len(raw[: r["start"]].split())
+        assert raw[r["start"] : r["start"] + r["n_bytes"]].split() == texts[r["doc_id"]][first : first + r["n_words"]]
+        spans[r["doc_id"]].append((first, r["n_words"], r["keep_doc_id"], r["removed"], r["cluster_size"]))
+    places = {7000: [(30, False), (120, True), (200, True)], 7001: [(15, False)], 7002: [(0, True), (90, True)]}
+    for doc_id, want in places.items():
+        got = sorted(spans[doc_id])
+        keep = 7000 if doc_id == 7000 else 7001
+        assert [g[2:] for g in got] == [(keep, gone, 3) for _, gone in want]
+        assert all(at <= g[0] <= at + 10 and g[0] + g[1] <= at + 60 for g, (at, _) in zip(got, want, strict=True))
+    assert sorted(spans[7004]) == [(0, 40, 7004, False, 3), (40, 80, 7004, True, 3)] and 7003 not in spans
+    assert {r["doc_id"] for r in paragraphs.shared_passages(frame).collect()} == {7001, 7002}
