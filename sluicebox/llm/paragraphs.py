@@ -21,7 +21,8 @@ piece of ``PIECE_WORDS`` words, line ends or not. Any 50 equal words of two text
 stand at two places or more, in one row or in several, are paragraphs too, named by their words, and all but their first
 places are to be removed; of places in one text that overlap each other, as in ``a a a``, the first counts. Overlapping
 pieces of a text whose first place lies in the same document are shown as one passage. At the edge of a
-passage the words around it can choose one more piece, which only some of the rows share.
+passage the words around it can choose one more piece, which only some of the rows share. Passages with edits are found
+by longer pieces that start at the same kind of places (``near_passages``).
 
 Every row's whole text is cut. Null and empty texts and paragraphs and pieces without a like give no rows. Rows
 that repeat are copies of each other; rows without an id stay only if all of their cluster have none.
@@ -52,6 +53,7 @@ BLOCK = 512
 OUT_ROWS, OUT_WORDS, NAMES = 2_000, 200_000, 100_000
 MATRIX = 1 << 24
 PIECE_WORDS, PASSAGE_STARTS, START_WORDS = 40, 11, 4
+NEAR_WORDS = MIN_WORDS
 BLOCK_WORDS = 1 << 16
 _FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
@@ -245,6 +247,10 @@ def _hex(p: int, q: int) -> str:
     return f"{p & (1 << 64) - 1:016x}{q & (1 << 64) - 1:016x}"
 
 
+def _node():
+    return F.lower(F.concat(F.lpad(F.hex("p"), 16, "0"), F.lpad(F.hex("q"), 16, "0")))
+
+
 def duplicate_paragraphs(
     docs: DataFrame, threshold: float = THRESHOLD, cell_rows: int = CELL_ROWS, text: str = "text", min_words: int = MIN_WORDS, wrapped: bool = False
 ) -> DataFrame:
@@ -254,7 +260,7 @@ def duplicate_paragraphs(
     """
     found = spool(paragraphs(docs, text, min_words, wrapped))
     roots = components(paragraph_links(found, threshold, cell_rows))
-    named = found.drop("words", "bands").withColumn("node", F.lower(F.concat(F.lpad(F.hex("p"), 16, "0"), F.lpad(F.hex("q"), 16, "0"))))
+    named = found.drop("words", "bands").withColumn("node", _node())
     rooted = named.join(broadcast_if_small(roots), "node", "left").withColumn("root", F.coalesce("root", "node")).drop("node", "p", "q")
     placed = spool(rooted)
     place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "paragraph")
@@ -292,27 +298,28 @@ def _byte_values(seed: int) -> np.ndarray:
     return found
 
 
-def _apart(at: np.ndarray, group: np.ndarray) -> np.ndarray:
+def _apart(at: np.ndarray, group: np.ndarray, size: int) -> np.ndarray:
     """Which of the places, sorted by group, begin behind the end of the last such piece of their group."""
     found, of, free = [], None, 0
     for place, one in zip(at.tolist(), group.tolist(), strict=True):
         found.append(one != of or place >= free)
         if found[-1]:
-            of, free = one, place + PIECE_WORDS
+            of, free = one, place + size
     return np.array(found, bool)
 
 
 class PieceFinder:
     """Finds the pieces of texts. A run of words is hashed by sums of bytes times powers, from running sums."""
 
-    def __init__(self, every: bool = False):
-        self.every = every
+    def __init__(self, every: bool = False, size: int = PIECE_WORDS):
+        self.every, self.size = every, size
         self.kinds = [(_byte_values(seed), _Powers(factor)) for seed, factor in enumerate(_FACTORS)]
 
-    def find(self, texts: list[bytes]) -> tuple[np.ndarray, ...]:
+    def find(self, texts: list[bytes], begun: bool = False) -> tuple[np.ndarray, ...]:
         """Of every piece, once per text: text, number of the first word, first byte, end, and two hashes.
 
-        With ``every`` at all its places in the text that do not overlap an earlier one.
+        With ``every`` at all its places in the text that do not overlap an earlier one. With ``begun`` all places, and
+        the first hash is of the words that start the piece.
         """
         data = np.frombuffer(b" ".join(texts), np.uint8)
         offsets = np.cumsum([0, *(len(text) + 1 for text in texts)])
@@ -320,13 +327,16 @@ class PieceFinder:
         edges = np.flatnonzero(inside[1:] != inside[:-1])
         begins, ends = edges[::2], edges[1::2]
         owner = np.searchsorted(offsets, begins, side="right") - 1
-        reach = PIECE_WORDS + PASSAGE_STARTS - 1
+        reach = self.size + PASSAGE_STARTS - 1
         parts = [(np.zeros(0, np.int64),) * 3]
         for low in range(0, len(begins) - reach + 1, BLOCK_WORDS):
             some = slice(low, low + BLOCK_WORDS + reach - 1)
-            at, p, q = self._of_words(data, inside[1:], begins[some], ends[some], owner[some])
+            at, p, q = self._of_words(data, inside[1:], begins[some], ends[some], owner[some], begun)
             parts.append((at + low, p, q))
         at, p, q = (np.concatenate(part) for part in zip(*parts, strict=True))
+        if begun:
+            of = owner[at]
+            return of, at - np.searchsorted(owner, of), begins[at] - offsets[of], ends[at + self.size - 1] - offsets[of], p, q
         order = np.lexsort((at, p, owner[at]))
         at, p, q = at[order], p[order], q[order]
         of = owner[at]
@@ -335,12 +345,12 @@ class PieceFinder:
         if self.every:
             group = np.cumsum(fresh)
             many = np.bincount(group)[group] > 1
-            fresh[many] = _apart(at[many], group[many])
+            fresh[many] = _apart(at[many], group[many], self.size)
         at, of = at[fresh], of[fresh]
         word = at - np.searchsorted(owner, of)
-        return of, word, begins[at] - offsets[of], ends[at + PIECE_WORDS - 1] - offsets[of], p[fresh], q[fresh]
+        return of, word, begins[at] - offsets[of], ends[at + self.size - 1] - offsets[of], p[fresh], q[fresh]
 
-    def _of_words(self, data, inside, begins, ends, owner):
+    def _of_words(self, data, inside, begins, ends, owner, begun):
         low, high = begins[0], ends[-1]
         kept = inside[low:high].copy()
         kept[1:] |= inside[low : high - 1]  # each word with one byte of the white space after it
@@ -357,12 +367,12 @@ class PieceFinder:
             found = (total[end[first + size - 1]] - total[start[first]]) * down[start[first]]
             return (found ^ (found >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
 
-        least = hashed(0, np.arange(len(begins) - PIECE_WORDS + 1), START_WORDS)
+        least = hashed(0, np.arange(len(begins) - self.size + 1), START_WORDS)
         chosen = np.lib.stride_tricks.sliding_window_view(least, PASSAGE_STARTS).argmin(1)
-        reach = PIECE_WORDS + PASSAGE_STARTS - 1
+        reach = self.size + PASSAGE_STARTS - 1
         within = owner[: len(chosen)] == owner[reach - 1 :]
         at = np.unique((chosen + np.arange(len(chosen)))[within])
-        return at, hashed(0, at, PIECE_WORDS).view(np.int64), hashed(1, at, PIECE_WORDS).view(np.int64)
+        return at, hashed(0, at, START_WORDS if begun else self.size).view(np.int64), hashed(1, at, self.size).view(np.int64)
 
 
 def shared_passages(docs: DataFrame, text: str = "text", every: bool = False) -> DataFrame:
@@ -394,31 +404,117 @@ def shared_passages(docs: DataFrame, text: str = "text", every: bool = False) ->
     found = spool(texts.mapInArrow(places, schema).join(twice, "p", "left_semi").select("doc_id", "version", "word", "start", "stop", "p", "q"))
     place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "start")
     shared = found.groupBy("p", "q").agg(F.count("*").alias("cluster_size"), F.min(place).alias("keep")).where("cluster_size > 1")
+    return _runs(found, shared, ["p", "q"], PIECE_WORDS)
+
+
+def _runs(found: DataFrame, shared: DataFrame, keys: list[str], size: int) -> DataFrame:
+    """Pieces of ``shared`` clusters, judged; those of a text that overlap and stay or go for one document are one row."""
     once = found.dropDuplicates(["doc_id", "version", "word"])
     stays = F.col("doc_id").eqNullSafe(F.col("keep.doc_id")) & (F.col("start") == F.col("keep.start"))
-    judged = once.join(broadcast_if_small(shared), ["p", "q"]).withColumn("removed", ~stays)
+    judged = once.join(broadcast_if_small(shared), keys).withColumn("removed", ~stays)
     along = Window.partitionBy("doc_id", "version").orderBy("word")
-    apart = F.col("word") > F.lag("word").over(along) + PIECE_WORDS
+    apart = F.col("word") > F.lag("word").over(along) + size
     differs = ~F.lag("keep.doc_id").over(along).eqNullSafe(F.col("keep.doc_id")) | (F.lag("removed").over(along) != F.col("removed"))
     begins = F.when(F.lag("word").over(along).isNull() | apart | differs, 1).otherwise(0)
     runs = judged.withColumn("begins", begins).withColumn("run", F.sum("begins").over(along))
-    name = F.lower(F.concat(F.lpad(F.hex("p"), 16, "0"), F.lpad(F.hex("q"), 16, "0")))
+    name = _node() if keys == ["p", "q"] else F.col(keys[0])
     first = F.min(F.struct("word", "start", name.alias("cluster_id"), "cluster_size", "keep")).alias("first")
     whole = runs.groupBy("doc_id", "version", "run").agg(first, F.max("stop").alias("stop"), F.max("word").alias("last"), F.first("removed").alias("removed"))
     return whole.select(
         "doc_id",
         F.col("first.start").alias("start"),
         (F.col("stop") - F.col("first.start")).alias("n_bytes"),
-        (F.col("last") + PIECE_WORDS - F.col("first.word")).alias("n_words"),
+        (F.col("last") + size - F.col("first.word")).alias("n_words"),
         "first.cluster_id", "first.cluster_size",
         F.col("first.keep.doc_id").alias("keep_doc_id"), F.col("first.keep.start").alias("keep_start"),
         "removed",
     )
 
 
+def near_passages(docs: DataFrame, text: str = "text", threshold: float = THRESHOLD, cell_rows: int = CELL_ROWS) -> DataFrame:
+    """Every passage of at least 50 words that is like another but not equal to it, as ``shared_passages`` shows them.
+
+    Pieces of ``NEAR_WORDS`` words go through the bands and the exact Jaccard test of the paragraphs. Only pieces that
+    begin with the same words meet, so that pieces that overlap in one text are not taken as copies of each other; what
+    begins like no other piece is left out before words and bands are spread.
+    """
+    bands, rows = tune()
+
+    def starts(batches):
+        finder = PieceFinder(size=NEAR_WORDS)
+        for batch in batches:
+            texts = batch.column("raw")
+            for low, high in slices(texts):
+                yield pa.RecordBatch.from_arrays([pa.array(finder.find(texts[low:high].to_pylist(), begun=True)[4])], ["g"])
+
+    def places(batches):
+        finder = PieceFinder(size=NEAR_WORDS)
+        for batch in batches:
+            texts = batch.column("raw")
+            for low, high in slices(texts):
+                some = texts[low:high].to_pylist()
+                of, word, start, stop, g, _ = finder.find(some, begun=True)
+                named = [batch.column(c).take(pa.array(of + low)) for c in ("doc_id", "version")]
+                split = [text.lower().split() for text in some]
+                words = [b" ".join(split[o][w : w + NEAR_WORDS]) for o, w in zip(of.tolist(), word.tolist(), strict=True)]
+                for a in range(0, len(of), OUT_ROWS):
+                    part = slice(a, a + OUT_ROWS)
+                    columns = [*(n[part] for n in named), *(pa.array(c[part]) for c in (word, start, stop, g)), pa.array(words[part], pa.binary())]
+                    yield pa.RecordBatch.from_arrays(columns, ["doc_id", "version", "word", "start", "stop", "g", "words"])
+
+    def banded(batches):
+        hasher = MinHash(bands, rows)
+        named: set[bytes] = set()
+        for batch in batches:
+            for low in range(0, batch.num_rows, OUT_ROWS):
+                part = batch.slice(low, OUT_ROWS)
+                names, lines, sets, begun = [], [], [], []
+                for g, line in zip(part.column("g").to_pylist(), part.column("words").to_pylist(), strict=True):
+                    name = hashlib.md5(line).digest()
+                    names.append([int.from_bytes(half, "big", signed=True) for half in (name[:8], name[8:])])
+                    fresh = name not in named
+                    lines.append(line if fresh else None)
+                    if fresh:
+                        if len(named) >= NAMES:
+                            named.clear()
+                        named.add(name)
+                        sets.append([xxhash.xxh64_intdigest(s) for s in shingles(line.split(b" "))])
+                        begun.append(g)
+                values = hasher.band_values(sets) if sets else np.zeros((0, bands), np.int64)
+                values = values ^ np.array(begun, np.int64)[:, None] * np.int64(-7046029254386353131)
+                spread = np.array([line is not None for line in lines])
+                ends = np.r_[0, np.cumsum(spread) * bands].astype(np.int32)
+                flat = pa.ListArray.from_arrays(pa.array(ends, mask=np.r_[~spread, False]), pa.array(values.ravel()))
+                kept = [part.column(c) for c in ("doc_id", "version", "word", "start", "stop")]
+                p, q = (pa.array(c, pa.int64()) for c in zip(*names, strict=True))
+                yield pa.RecordBatch.from_arrays([*kept, p, q, pa.array(lines, pa.binary()), flat], [*schema_names])
+
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(raw(text)).alias("version"), raw(text).alias("raw"))
+    counted = texts.select("raw").mapInArrow(starts, "g long").groupBy("g").agg(F.count("*").alias("n"))
+    twice = broadcast_if_small(spool(counted.where("n > 1").select("g")))
+    cut = texts.mapInArrow(places, "doc_id long, version long, word long, start long, stop long, g long, words binary").join(twice, "g", "left_semi")
+    schema = "doc_id long, version long, word long, start long, stop long, p long, q long, words binary, bands array<long>"
+    schema_names = ["doc_id", "version", "word", "start", "stop", "p", "q", "words", "bands"]
+    found = spool(cut.mapInArrow(banded, schema))
+    roots = components(paragraph_links(found, threshold, cell_rows))
+    rooted = spool(found.drop("words", "bands").withColumn("node", _node()).join(broadcast_if_small(roots), "node").drop("p", "q", "node"))
+    place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "start")
+    clusters = rooted.groupBy("root").agg(F.count("*").alias("cluster_size"), F.min(place).alias("keep"))
+    # In one text a place that overlaps the one that stays is no copy of it.
+    keep = clusters.select("root", F.col("keep.doc_id").alias("keep_id"), F.col("keep.start").alias("keep_start"))
+    kept = rooted.join(broadcast_if_small(keep), "root")
+    own = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("start") != F.col("keep_start"))
+    first = kept.where(F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("start") == F.col("keep_start")))
+    ends = first.groupBy("root").agg(F.max("stop").alias("keep_stop"))
+    apart = kept.join(broadcast_if_small(ends), "root").where(~(own & (F.col("start") < F.col("keep_stop"))))
+    return _runs(apart.drop("keep_id", "keep_start", "keep_stop"), clusters, ["root"], NEAR_WORDS)
+
+
 def repeated_paragraphs(spark, sf_dir) -> DataFrame:
     """Every line and wrapped paragraph of the documents that has a near copy, and every shared passage inside other paragraphs."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     lines = duplicate_paragraphs(docs, min_words=1).withColumn("kind", F.lit("line"))
     wrapped = duplicate_paragraphs(docs, min_words=1, wrapped=True).withColumn("kind", F.lit("wrapped"))
-    return lines.unionByName(wrapped).unionByName(shared_passages(docs, every=True).withColumn("kind", F.lit("passage")), allowMissingColumns=True)
+    equal = shared_passages(docs, every=True).withColumn("kind", F.lit("passage"))
+    near = near_passages(docs).withColumn("kind", F.lit("near_passage"))
+    return lines.unionByName(wrapped).unionByName(equal.unionByName(near), allowMissingColumns=True)

@@ -377,3 +377,27 @@ def test_every_place_of_a_passage_in_one_text_is_shown(spark):
         assert all(at <= g[0] <= at + 10 and g[0] + g[1] <= at + 60 for g, (at, _) in zip(got, want, strict=True))
     assert sorted(spans[7004]) == [(0, 40, 7004, False, 3), (40, 80, 7004, True, 3)] and 7003 not in spans
     assert {r["doc_id"] for r in paragraphs.shared_passages(frame).collect()} == {7001, 7002}
+
+
+def test_edited_passages_inside_other_words_are_linked(spark):
+    draw = random.Random(33)
+
+    def prose(n):
+        return ["".join(draw.choices("abcdefgh", k=5)) for _ in range(n)]
+
+    given, want = [], []
+    for k in range(12):
+        inner = prose(60)
+        edited = [*inner[:30], "changed", *inner[31:]]
+        given += [(8000 + 2 * k, " ".join([*prose(90), *inner, *prose(80)])), (8001 + 2 * k, " ".join([*prose(70), *edited, *prose(95)]))]
+        want += [(8000 + 2 * k, 8000 + 2 * k, False), (8001 + 2 * k, 8000 + 2 * k, True)]
+    given += [(9000, "z " * 300), (9001, " ".join(prose(300))), (None, None)]
+    frame = spark.createDataFrame(given, "doc_id long, text string")
+    rows = paragraphs.near_passages(frame).collect()
+    made = [r for r in rows if r["doc_id"] != 9000]
+    assert sorted({(r["doc_id"], r["keep_doc_id"], r["removed"]) for r in made}) == want
+    texts = dict(given)
+    for r in made:
+        words = texts[r["doc_id"]][r["start"] : r["start"] + r["n_bytes"]].split()
+        assert len(words) == r["n_words"] >= 50 and "changed" in words or not r["removed"]
+    assert paragraphs.near_passages(frame.limit(0)).count() == 0
