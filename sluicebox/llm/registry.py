@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sluicebox.llm import chat, gam, gbt, licenses, mixing, packing, paragraphs, repeats, simhash, trie
+from sluicebox.llm import alignment, chat, gam, gbt, licenses, middle, mixing, packing, paragraphs, repeats, sharding, simhash, trie
 
 QUERIES = {
     "op1_license_scan": licenses.license_labels,
@@ -15,9 +15,14 @@ QUERIES = {
     "op8_chat_rotation": chat.rotated_chats,
     "op9_simhash_dedup": simhash.simhash_classes,
     "op10_quality_classifier": gam.quality_classifier,
+    "op11_feistel_shards": sharding.shard_documents,
+    "op12_fill_in_middle": middle.middle_filled,
+    "op13_token_alignment": alignment.aligned_documents,
 }
 
 SQL = {
     "op3_source_mix": mixing.SQL,
     "op8_chat_rotation": chat.SQL,
+    "op11_feistel_shards": sharding.SQL,
+    "op12_fill_in_middle": middle.SQL,
 }
