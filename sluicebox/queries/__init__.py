@@ -9,11 +9,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sluicebox.queries import checks, cleaning, files, geography, lookups, published, resolution, timelines
+from sluicebox.queries import checks, cleaning, files, geography, landing, lookups, published, resolution, timelines
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-_MODULES = (timelines, cleaning, files, geography, lookups, resolution, checks, published)
+_MODULES = (timelines, cleaning, files, geography, landing, lookups, resolution, checks, published)
 
 
 def all_queries() -> dict[str, Query]:

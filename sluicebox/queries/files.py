@@ -113,6 +113,43 @@ COLUMNS = {
 }
 
 
+LONG_BYTES = 64 * 1024
+BREAKS = "[\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029]"
+
+
+def long_csv_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole documents as quoted cells over many lines, in long files of four encodings, read by split.
+
+    One row per document: what was read of its text, whose line breaks go.
+    """
+    root = scratch_path(spark, "long")
+    key, body = F.col("doc_id"), F.coalesce(F.col("text"), F.lit(""))
+    plain = F.regexp_replace(body, r"[^\x00-\x7F]", "字")
+    cell = F.concat(F.lit('"'), F.replace(F.when(key % 4 == 3, plain).otherwise(body), F.lit('"'), F.lit('""')), F.lit('"'))
+    lines = table(spark, sf_dir, "documents").select(key, F.concat_ws(",", F.lit("文書"), text(key), cell, F.lit("x")).alias("line"))
+    for n, (encoding, mark) in enumerate([("utf-8", ""), ("utf-8", "\ufeff"), ("utf-16-le", "\ufeff"), ("cp932", "")]):
+        _write_encoded(lines.filter(key % 4 == n), f"{root}/{n}", encoding, mark)
+    rows = csv_rows(csv_chunks(spark, root, "*.txt", whole_file_bytes=LONG_BYTES))
+    cells = [F.try_element_at("cells", F.lit(n)) for n in (1, 2, 3, 4)]
+    return rows.select(
+        cells[1].cast("bigint").alias("doc_id"),
+        "encoding",
+        cells[0].alias("label"),
+        F.char_length(cells[2]).alias("n_chars"),
+        F.md5(cells[2].cast("binary")).alias("text_md5"),
+        cells[3].alias("behind"),
+    )
+
+
+LONG_SQL = f"""
+with d as (select doc_id, regexp_replace(case when doc_id % 4 = 3 then regexp_replace(coalesce(text, ''), '[^\\x00-\\x7F]', '字', 'g')
+    else coalesce(text, '') end, '{BREAKS}', '', 'g') as read from documents)
+select doc_id, case doc_id % 4 when 2 then 'utf-16' when 3 then 'cp932' else 'utf-8-sig' end as encoding, '文書' as label,
+  length(read) as n_chars, md5(read) as text_md5, 'x' as behind
+from d
+"""
+
+
 def header_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers in three file layouts: a losing alias, reordered and repeated headers, a title above the header."""
     key = F.col("c_custkey")
@@ -497,6 +534,7 @@ def page_link_pick(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "landed_csv_ingest": landed_csv_ingest,
+    "long_csv_ingest": long_csv_ingest,
     "header_mapping": header_mapping,
     "required_columns": required_columns,
     "row_filters": row_filters,
@@ -512,6 +550,7 @@ QUERIES = {
 }
 SQL = {
     "landed_csv_ingest": LANDED_SQL,
+    "long_csv_ingest": LONG_SQL,
     "header_mapping": HEADER_SQL,
     "required_columns": REQUIRED_SQL,
     "row_filters": FILTERS_SQL,
