@@ -26,30 +26,35 @@ BASE = (("cc-by", b"cc by"), ("gpl", b"general public license"), ("reserved", b"
 # Names of licenses as regexes over words: label, keyword, pattern. The forms below make the signatures.
 NAMES = """
 apache-2.0|apache|apache(?: software)? license(?: version)? 2(?: 0)?
+apache-2.0|apache|apache 2 0
 apache-1.1|apache|apache(?: software)? license(?: version)? 1 1
-mit|mit|mit(?: expat)?(?: license)?
+mit|mit|mit(?: expat)? licen[cs]e
 bsd-2-clause|bsd|(?:bsd 2 clause|2 clause bsd|simplified bsd|freebsd)(?: license)?
 bsd-3-clause|bsd|(?:bsd 3 clause|3 clause bsd|new bsd|revised bsd|modified bsd)(?: license)?
 bsd-4-clause|bsd|(?:bsd 4 clause|4 clause bsd|original bsd)(?: license)?
 bsd|bsd|bsd(?: style)? license
 isc|isc|isc(?: license)?
-gpl-1.0|gnu|gnu general public license(?: gpl)?(?: version| v)? 1(?: 0)?
-gpl-2.0|gnu|gnu general public license(?: gpl)?(?: version| v)? 2(?: 0)?
-gpl-3.0|gnu|gnu general public license(?: gpl)?(?: version| v)? 3(?: 0)?
-lgpl-2.0|gnu|gnu library general public license(?: version| v)? 2(?: 0)?
-lgpl-2.1|gnu|gnu lesser general public license(?: version| v)? 2 1
-lgpl-3.0|gnu|gnu lesser general public license(?: version| v)? 3(?: 0)?
-agpl-3.0|affero|(?:gnu )?affero general public license(?: version| v)? 3(?: 0)?
+gpl-1.0|gnu|gnu general public license(?: gpl)?(?: version| v)? v?1(?: 0)?
+gpl-2.0|gnu|gnu general public license(?: gpl)?(?: version| v)? v?2(?: 0)?
+gpl-3.0|gnu|gnu general public license(?: gpl)?(?: version| v)? v?3(?: 0)?
+lgpl-2.0|gnu|gnu library general public license(?: version| v)? v?2(?: 0)?
+lgpl-2.1|gnu|gnu lesser general public license(?: version| v)? v?2 1
+lgpl-3.0|gnu|gnu lesser general public license(?: version| v)? v?3(?: 0)?
+agpl-3.0|affero|(?:gnu )?affero general public license(?: version| v)? v?3(?: 0)?
 gfdl-1.3|documentation|(?:gnu )?free documentation license(?: version| v)?(?: 1)?(?: 3)?
 gpl-2.0|gpl|gpl ?v? ?2(?: 0)?
 gpl-3.0|gpl|gpl ?v? ?3(?: 0)?
 lgpl-2.1|lgpl|lgpl ?v? ?2 1
 lgpl-3.0|lgpl|lgpl ?v? ?3(?: 0)?
 agpl-3.0|agpl|agpl ?v? ?3(?: 0)?
-mpl-1.1|mozilla|mozilla public license(?: version| v)? 1 1
-mpl-2.0|mozilla|mozilla public license(?: version| v)? 2(?: 0)?
-epl-1.0|eclipse|eclipse public license(?: version| v)? 1(?: 0)?
-epl-2.0|eclipse|eclipse public license(?: version| v)? 2(?: 0)?
+mpl-1.1|mpl|mpl 1 1
+mpl-2.0|mpl|mpl 2 0
+epl-1.0|epl|epl 1 0
+epl-2.0|epl|epl 2 0
+mpl-1.1|mozilla|mozilla public license(?: version| v)? v?1 1
+mpl-2.0|mozilla|mozilla public license(?: version| v)? v?2(?: 0)?
+epl-1.0|eclipse|eclipse public license(?: version| v)? v?1(?: 0)?
+epl-2.0|eclipse|eclipse public license(?: version| v)? v?2(?: 0)?
 cddl-1.0|distribution|common development and distribution license(?: version)?(?: 1 0)?
 cpl-1.0|common|common public license(?: version)?(?: 1 0)?
 eupl-1.2|european|european union public licen[cs]e(?: version| v)?(?: 1 2)?
@@ -109,11 +114,19 @@ vim|vim|vim license
 x11|x11|x11 license
 """.strip()
 
+# Names that are ordinary words in some language too: they count only in a form that speaks of a license.
+ORDINARY = """
+mit|mit|mit(?: expat)?
+""".strip()
+
 # How a license is named in a text: priority, confidence, keyword (if any besides the name's), form around the name.
 FORMS = (
     (5, 0.95, b"spdx", "spdx license identifier {name}"),
     (4, 0.9, b"licen", "(?:dual |jointly )?licen[cs]ed under (?:the )?(?:terms of )?(?:the )?{name}"),
     (4, 0.9, b"under", "(?:released|distributed|available|published|provided|shared) under (?:the )?(?:terms of )?(?:the )?{name}"),
+    # Only the name itself and "or" are matched, so the other name stays a detection of its own.
+    (4, 0.9, b" or ", "{name} or(?= (?:the )?(?:apache|bsd|isc|zlib|[al]?gpl|mpl|unlicense))"),
+    (4, 0.9, b" or ", "(?:(?<=[23] 0 )|(?<=license )|(?<=clause )|(?<=bsd )|(?<=isc )|(?<=zlib )|(?<=gpl ))or (?:the )?{name}"),
     (3, 0.6, b"", "{name}"),
 )
 
@@ -122,6 +135,12 @@ NOTICES = (
     ("mit", 4, 0.9, b"permission is hereby granted", "permission is hereby granted free of charge to any person obtaining a copy"),
     ("isc", 4, 0.9, b"permission to use copy", "permission to use copy modify and or distribute this software for any purpose with or without fee"),
     ("bsd", 4, 0.9, b"redistribution and use", "redistribution and use in source and binary forms with or without modification are permitted"),
+    ("apache-2.0", 4, 0.9, b"except in compliance", "you may not use this file except in compliance with the license you may obtain a copy of the license at http www apache org licenses license 2 0"),
+    ("mpl-2.0", 4, 0.9, b"source code form", "this source code form is subject to the terms of the mozilla public license v 2 0"),
+    ("epl-2.0", 4, 0.9, b"accompanying materials", "this program and the accompanying materials are made available under the terms of the eclipse public license (?:version |v )?v?2 0"),
+    ("lgpl-2.1-or-later", 5, 0.9, b"lesser general public", "under the terms of the gnu lesser general public license as published by the free software foundation either version 2 1 of the license or at your option any later version"),
+    ("agpl-3.0-or-later", 5, 0.9, b"affero", "under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license or at your option any later version"),
+    ("cc-by-4.0", 4, 0.9, b"creative commons", "(?:licensed under (?:a|the) )?creative commons attribution 4 0 international(?: public)? licen[cs]e"),
     ("zlib", 4, 0.9, b"as is", "this software is provided as is without any express or implied warranty in no event"),
     ("gpl-2.0-or-later", 5, 0.9, b"any later version", "either version 2 of the license or at your option any later version"),
     ("gpl-3.0-or-later", 5, 0.9, b"any later version", "either version 3 of the license or at your option any later version"),
@@ -150,9 +169,10 @@ def _whole_words(pattern: str) -> re.Pattern[bytes]:
 def rules() -> list[Rule]:
     """All signatures, highest priority first."""
     found = [Rule(label, p, c, (key,), _whole_words(pattern)) for label, p, c, key, pattern in NOTICES]
-    for line in NAMES.splitlines():
+    named = [(line, FORMS) for line in NAMES.splitlines()] + [(line, FORMS[:-1]) for line in ORDINARY.splitlines()]
+    for line, forms in named:
         label, key, name = line.split("|", 2)
-        for priority, confidence, needed, form in FORMS:
+        for priority, confidence, needed, form in forms:
             keywords = tuple(k for k in (key.encode(), needed) if k)
             found.append(Rule(label, priority, confidence, keywords, _whole_words(form.replace("{name}", f"(?:{name})"))))
     return sorted(found, key=lambda rule: -rule.priority)

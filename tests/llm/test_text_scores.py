@@ -164,3 +164,24 @@ def test_scores_of_odd_tables(spark):
         assert gam.score(docs, gam.train(docs, labels)).count() == n
         assert gbt.quality_rules(docs, gbt.train(docs, labels)).select("rules.kept").count() == n
         assert licenses.scan_licenses(docs.withColumn("licenses", F.lit(1))).select("licenses.score").count() == n
+
+
+CLEAN = [
+    "Er kam mit dem Zug und ging mit ihr nach Hause. Mit der Lizenz hat das nichts zu tun.",
+    "Je vais avec toi au marché; la licence de pêche est valable un an.",
+    "Ella vino con su hermano y no dijo nada de la licencia.",
+    "He studied at MIT and drove home, commit by commit, with an eclipse in the sky or a bus.",
+]
+NAMED = {
+    "Released under the MIT License.": "mit", "SPDX-License-Identifier: MIT": "mit", "licensed under MIT": "mit", "(MIT OR Apache-2.0)": "apache-2.0,mit",
+    "Apache-2.0 OR MIT": "apache-2.0,mit", "MPL-2.0": "mpl-2.0", "SPDX-License-Identifier: EPL-2.0": "epl-2.0", "GNU Lesser General Public License v2.1": "gpl,lgpl-2.1",
+    "GNU General Public License v3": "gpl,gpl-3.0", "under a Creative Commons Attribution 4.0 International License": "cc-by-4.0",
+    "You may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0": "apache-2.0",
+    "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.": "mpl-2.0",
+}
+
+
+def test_plain_texts_have_no_license_and_named_ones_theirs():
+    scanner = licenses.Scanner(licenses.rules())
+    assert [scanner.scan(text.encode())[5] for text in CLEAN] == [""] * len(CLEAN)
+    assert {text: scanner.scan(text.encode())[5] for text in NAMED} == NAMED
