@@ -167,8 +167,12 @@ def owners(docs: DataFrame, trie_bytes: int = TRIE_BYTES, text: str = "text") ->
     return dealt.mapInArrow(whole, TERMINALS).drop("part")
 
 
+_BEGINS = bytes(b for b in range(256) if not 0x80 <= b < 0xC0)
+
+
 def _code_points(value: bytes) -> int:
-    return len(value.decode("utf-8", "surrogatepass"))
+    """Bytes that begin a code point, which is their number in valid UTF-8."""
+    return len(value) - len(value.translate(None, _BEGINS))
 
 
 def exact_duplicates(docs: DataFrame, text: str = "text", trie_bytes: int = TRIE_BYTES) -> DataFrame:
@@ -188,20 +192,18 @@ def exact_duplicates(docs: DataFrame, text: str = "text", trie_bytes: int = TRIE
         )
 
     kept = spool(owners(docs, text=text, trie_bytes=trie_bytes))
-    found = kept.select(
-        F.struct("n_bytes", "content").alias("copies_name"),
-        F.struct("owner", "n_rows", "n_chars").alias("copies_of"),
-    )
-    own = docs.withColumn("copies_own", named.asNondeterministic()(raw(text)))
-    own = own.withColumn("copies_name", F.struct("copies_own.n_bytes", "copies_own.content"))
-    joined = own.join(found, "copies_name")
+    name = F.struct("n_bytes", "content").alias("name")
+    found = kept.select(name, F.struct("owner", "n_rows", "n_chars").alias("of"))
+    # The row is boxed, so its columns can have any names.
+    boxed = docs.select(F.struct("*").alias("row"), named.asNondeterministic()(raw(text)).alias("own"))
+    joined = boxed.withColumn("name", F.struct("own.n_bytes", "own.content")).join(found, "name")
     copies = F.struct(
-        F.col("copies_of.owner").alias("keep_id"),
-        F.col("copies_of.n_rows").alias("group_size"),
-        (F.col("doc_id").eqNullSafe(F.col("copies_of.owner")) & (F.col("copies_own.n_chars") == F.col("copies_of.n_chars"))).alias("kept"),
-        F.lower(F.hex("copies_own.content")).alias("text_sha256"),
+        F.col("of.owner").alias("keep_id"),
+        F.col("of.n_rows").alias("group_size"),
+        (F.col("row.doc_id").eqNullSafe(F.col("of.owner")) & (F.col("own.n_chars") == F.col("of.n_chars"))).alias("kept"),
+        F.lower(F.hex("own.content")).alias("text_sha256"),
     )
-    others = [F.col(f"`{name}`") for name in docs.columns if name.lower() != "copies"]
+    others = [F.col(f"row.`{name}`") for name in docs.columns if name.lower() != "copies"]
     return joined.select(*others, copies.alias("copies"))
 
 

@@ -401,3 +401,12 @@ def test_edited_passages_inside_other_words_are_linked(spark):
         words = texts[r["doc_id"]][r["start"] : r["start"] + r["n_bytes"]].split()
         assert len(words) == r["n_words"] >= 50 and "changed" in words or not r["removed"]
     assert paragraphs.near_passages(frame.limit(0)).count() == 0
+
+
+def test_exact_copies_of_other_bytes_and_clashing_names(spark):
+    rows = [(1, b"a\xff b"), (2, b"a\xffb"), (3, b"\xc3\xa4 "), (4, b"\xc3\xa4")]
+    docs = spark.createDataFrame(rows, "doc_id long, bytes binary").select("doc_id", F.col("bytes").cast("string").alias("text"))
+    docs = docs.withColumns({"copies_name": F.lit("n"), "copies_own": F.lit("o"), "copies_of": F.lit("f"), "row": F.lit("r")})
+    found = trie.exact_duplicates(docs)
+    assert {r["doc_id"]: (r["copies"]["keep_id"], r["copies"]["kept"]) for r in found.collect()} == {1: (1, True), 2: (1, False), 3: (3, True), 4: (3, False)}
+    assert {(r["copies_name"], r["copies_own"], r["copies_of"], r["row"]) for r in found.collect()} == {("n", "o", "f", "r")}
