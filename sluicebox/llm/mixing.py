@@ -5,13 +5,14 @@ takes what it has, and what it leaves goes to its siblings by their weights; onl
 to the siblings of an ancestor. With children in the order of tokens per weight this has a closed form: running sums
 over the small table of nodes, no loop.
 
-A leaf's budget is whole epochs plus a prefix of one more. Each epoch has its own order, by MD5 of seed, epoch and id;
+A leaf's budget is whole epochs plus a prefix of one more. Each epoch has its own order, by MD5 of seed, epoch, id and text;
 the prefix is the longest that fits. Its end is found by two histograms over hash prefixes and one sort inside the
 last cell, about one in 16 million rows of the leaf, so a source that holds a third of all rows is never sorted in one
 task. Rows then compare their own hash with their leaf's cut: no text is shuffled.
 
 Tokens are words. Null languages and sources are the node ``unknown``; null texts have no tokens and come along with
-every epoch; rows with a null or repeated id share one place in the order. Without any token nothing is taken. Weights
+every epoch; rows that agree in id and text share one place in the order and
+are taken together. Without any token nothing is taken. Weights
 are whole numbers of 0 or more; a node without one weighs 1.
 """
 
@@ -22,7 +23,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sluicebox.llm.common import table
+from sluicebox.llm.common import raw, table
 from sluicebox.llm.packing import n_words
 from sluicebox.session import broadcast_if_small, spool
 
@@ -84,8 +85,9 @@ def budgets(leaves: DataFrame, total: int, weights: Mapping[str, Mapping[str, in
     return leaves.join(given.select(*TREE, "budget"), list(TREE))
 
 
-def _order(epoch: Column, doc_id: str, seed: int) -> Column:
-    return F.md5(F.concat_ws("-", F.lit(str(seed)), epoch.cast("string"), F.coalesce(F.col(doc_id).cast("string"), F.lit("null"))))
+def _order(epoch: Column, doc_id: Column, version: Column, seed: int) -> Column:
+    """The place of a row in an epoch; ``version`` is the MD5 of its text, so rows without an id have places too."""
+    return F.md5(F.concat_ws("-", F.lit(str(seed)), epoch.cast("string"), F.coalesce(doc_id.cast("string"), F.lit("null")), version))
 
 
 def mix(
@@ -108,7 +110,9 @@ def mix(
         source.alias("source"),
     )
     tree = list(TREE)
-    sized = spool(docs.select(F.col("doc_id").cast("long").alias("doc_id"), path.alias("path"), n_words(text).alias("n_tokens")).select("doc_id", "path.*", "n_tokens"))
+    version = F.md5(raw(text))
+    named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), path.alias("path"), n_words(text).alias("n_tokens"), version.alias("version"))
+    sized = spool(named.select("doc_id", "path.*", "n_tokens", "version"))
     leaves = spool(sized.groupBy(*tree).agg(F.sum("n_tokens").alias("tokens")))
     total = (leaves.agg(F.sum("tokens")).first()[0] or 0) * share[0] // share[1]
     given = budgets(leaves, total, weights, epochs).select(
@@ -117,7 +121,7 @@ def mix(
         F.coalesce(F.expr("budget % nullif(tokens, 0)"), F.lit(0)).cast("long").alias("rest"),
     )
     leaf = broadcast_if_small(spool(given))
-    ranked = sized.join(leaf, tree).where("rest > 0").withColumn("place", _order(F.col("whole"), "doc_id", seed))
+    ranked = sized.join(leaf, tree).where("rest > 0").withColumn("place", _order(F.col("whole"), F.col("doc_id"), F.col("version"), seed))
     for depth in (1, 2):
         ranked = _last_cell(ranked, tree, depth * CELL)
     fits = Window.partitionBy(*tree).orderBy("place", F.col("doc_id").asc_nulls_first())
@@ -126,16 +130,18 @@ def mix(
     # The last cell itself where nothing of it fits: all cells before it are taken.
     cells = ranked.groupBy(*tree).agg(F.min(F.substring("place", 1, 2 * CELL)).alias("cell"))
     cuts = spool(given.join(cells, tree, "left").join(ends, tree, "left"))
-    named = F.struct(*tree, "whole", "rest", "cell", "end").alias("mix_cut")
-    cut = broadcast_if_small(cuts.select(F.struct(*tree).alias("mix_path"), named))
-    placed = docs.withColumn("mix_path", path).join(cut, "mix_path")
-    place = _order(F.col("mix_cut.whole"), "doc_id", seed)
-    own = F.struct(place.alias("place"), F.col("doc_id").cast("long").alias("doc_id"))
-    inside = F.when(F.col("mix_cut.rest") == 0, F.lit(False)).otherwise(
-        (F.substring(place, 1, 2 * CELL) < F.col("mix_cut.cell")) | F.coalesce(own <= F.col("mix_cut.end"), F.lit(False))
+    named = F.struct(*tree, "whole", "rest", "cell", "end").alias("cut")
+    cut = broadcast_if_small(cuts.select(F.struct(*tree).alias("path"), named))
+    # The row is boxed, so its columns can have any names.
+    boxed = docs.select(F.struct("*").alias("row"), path.alias("path"), version.alias("version"), n_words(text).alias("n_tokens"))
+    placed = boxed.join(cut, "path")
+    place = _order(F.col("cut.whole"), F.col("row.doc_id").cast("long"), F.col("version"), seed)
+    own = F.struct(place.alias("place"), F.col("row.doc_id").cast("long").alias("doc_id"))
+    inside = F.when(F.col("cut.rest") == 0, F.lit(False)).otherwise(
+        (F.substring(place, 1, 2 * CELL) < F.col("cut.cell")) | F.coalesce(own <= F.col("cut.end"), F.lit(False))
     )
-    found = F.struct("mix_path.*", n_words(text).alias("n_tokens"), (F.col("mix_cut.whole") + F.coalesce(inside, F.lit(False)).cast("long")).alias("copies"))
-    others = [F.col(f"`{name}`") for name in docs.columns if name.lower() != "mix"]
+    found = F.struct("path.*", "n_tokens", (F.col("cut.whole") + F.coalesce(inside, F.lit(False)).cast("long")).alias("copies"))
+    others = [F.col(f"row.`{name}`") for name in docs.columns if name.lower() != "mix"]
     return placed.select(*others, found.alias("mix"))
 
 
@@ -187,7 +193,7 @@ WITH sized AS (
     SELECT doc_id, coalesce(lang, 'unknown') AS lang, coalesce(source, 'unknown') AS source,
         CASE WHEN regexp_extract(coalesce(source, 'unknown'), '([0-9]{{1,9}})$', 1) <> ''
             THEN 'd' || (CAST(regexp_extract(coalesce(source, 'unknown'), '([0-9]{{1,9}})$', 1) AS BIGINT) % 4) ELSE 'other' END AS domain,
-        len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS n_tokens
+        len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS n_tokens, md5(coalesce(text, '')) AS version
     FROM documents
 ), leaves AS (SELECT domain, lang, source, CAST(sum(n_tokens) AS HUGEINT) AS tokens FROM sized GROUP BY ALL
 ), goal AS (SELECT sum(tokens) * {SHARE[0]} // {SHARE[1]} AS budget FROM leaves
@@ -196,7 +202,7 @@ cut AS (
     SELECT domain, lang, source, coalesce(budget // nullif(tokens, 0), 0) AS whole, coalesce(budget % nullif(tokens, 0), 0) AS rest
     FROM leaves JOIN given3 USING (domain, lang, source)
 ), placed AS (
-    SELECT *, md5('{SEED}-' || whole || '-' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS place FROM sized JOIN cut USING (domain, lang, source)
+    SELECT *, md5('{SEED}-' || whole || '-' || coalesce(CAST(doc_id AS VARCHAR), 'null') || '-' || version) AS place FROM sized JOIN cut USING (domain, lang, source)
 ), summed AS (
     SELECT *, sum(n_tokens) OVER (PARTITION BY domain, lang, source ORDER BY place, doc_id NULLS FIRST RANGE UNBOUNDED PRECEDING) AS upto FROM placed
 )
