@@ -6,8 +6,9 @@ should learn: the chosen speaker's words and the closing mark.
 
 A dialogue is rendered in parts of ``PART_TURNS`` turn numbers, so that one that holds a third of all rows is not one
 row: a part is the range of turn numbers ``part * PART_TURNS`` up to the next. Should one part have more than
-``PART_ROWS`` rows all the same (many texts under one number), it is cut into sections by a hash of the row.
-``part_chars`` and ``n_turns`` let parts be put together. Rows that repeat whole are one turn; turns of the same number follow by role and text. Null text is
+``PART_ROWS`` rows all the same (many texts under one number), it is cut into sections of that many rows, one behind the
+other in the order of the dialogue; its rows get their numbers from a sort that deals a crowded part over many tasks. So
+parts and their sections, joined in order, are the dialogue. ``part_chars`` and ``n_turns`` let parts be put together. Rows that repeat whole are one turn; turns of the same number follow by role and text. Null text is
 empty, a null role is named ``unknown``, a null turn comes first (in the part of turn 0), and a null conversation is a
 conversation of its own. Only DataFrame functions are used.
 """
@@ -18,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sluicebox.llm.common import table
+from sluicebox.llm.sharding import numbered
 from sluicebox.session import broadcast_if_small
 
 PART_TURNS, PART_ROWS = 64, 4096
@@ -28,9 +30,20 @@ def _head(role: Column, speaker: Column) -> Column:
     return F.when(role == speaker, F.lit("<|assistant|>\n")).otherwise(F.concat(F.lit("<|user name="), role, F.lit("|>\n")))
 
 
-def _section(n: Column) -> Column:
-    row = F.concat_ws("|", F.coalesce(F.col("turn").cast("string"), F.lit("")), "role", "text")
-    return F.conv(F.substring(F.md5(row.cast("binary")), 1, 8), 16, 10).cast("long") % F.ceil(n / F.lit(float(PART_ROWS)))
+def _sections(once: DataFrame, crowded: DataFrame) -> DataFrame:
+    """``once`` with the number of each row's section, 0 but in the ``crowded`` parts."""
+    names = crowded.select(F.col("conv_id").alias("crowded_conv"), F.col("part").alias("crowded_part"))
+    if names.isEmpty():
+        return once.withColumn("section", F.lit(0).cast("long"))
+    same = once.conv_id.eqNullSafe(names.crowded_conv) & (once.part == names.crowded_part)
+    ranked, _ = numbered(once.join(names, same, "left_semi"), ["conv_id", "part", "turn", "role", "text"])
+    ranked = ranked.select("row.*", "number")
+    first = ranked.groupBy(F.col("conv_id").alias("crowded_conv"), F.col("part").alias("crowded_part")).agg(F.min("number").alias("first"))
+    first = broadcast_if_small(first)
+    placed = ranked.join(first, ranked.conv_id.eqNullSafe(first.crowded_conv) & (ranked.part == first.crowded_part))
+    section = F.expr(f"(number - first) div {PART_ROWS}").alias("section")
+    rest = once.join(names, same, "left_anti").select("*", F.lit(0).cast("long").alias("section"))
+    return rest.unionByName(placed.select(*once.columns, section))
 
 
 def perspectives(turns: DataFrame, part_turns: int = PART_TURNS) -> DataFrame:
@@ -45,9 +58,7 @@ def perspectives(turns: DataFrame, part_turns: int = PART_TURNS) -> DataFrame:
     part = F.floor(F.coalesce(F.col("turn"), F.lit(0)) / F.lit(part_turns)).cast("long")
     once = clean.distinct().withColumn("part", part)
     sizes = once.groupBy("conv_id", "part").agg(F.count("*").alias("n")).where(F.col("n") > PART_ROWS)
-    large = broadcast_if_small(sizes.select(F.col("conv_id").alias("large_conv"), F.col("part").alias("large_part"), "n"))
-    same = once.conv_id.eqNullSafe(large.large_conv) & (once.part == large.large_part)
-    cut = once.join(large, same, "left").withColumn("section", F.when(F.col("n").isNull(), F.lit(0)).otherwise(_section(F.col("n"))).cast("long"))
+    cut = _sections(once, broadcast_if_small(sizes.select("conv_id", "part")))
     dialogues = cut.groupBy("conv_id", "part", "section").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("said"))
     # Participants of the whole conversation, not of the part alone: few rows, combined on the map side.
     speakers = clean.select("conv_id", F.col("role").alias("speaker")).distinct()
@@ -100,12 +111,8 @@ WITH once AS (
     SELECT DISTINCT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text,
         CAST(floor(coalesce(turn, 0) / {PART_TURNS}) AS BIGINT) AS part
     FROM conversations
-), sized AS (SELECT *, count(*) OVER (PARTITION BY conv_id, part) AS n_rows FROM once
 ), clean AS (
-    SELECT *, CASE WHEN n_rows <= {PART_ROWS} THEN 0 ELSE
-        CAST('0x' || substr(md5(concat_ws('|', coalesce(CAST(turn AS VARCHAR), ''), role, text)), 1, 8) AS BIGINT) % CAST(ceil(n_rows / {PART_ROWS}.0) AS BIGINT)
-        END AS section
-    FROM sized
+    SELECT *, (row_number() OVER (PARTITION BY conv_id, part ORDER BY turn NULLS FIRST, role, text) - 1) // {PART_ROWS} AS section FROM once
 ), speakers AS (SELECT DISTINCT conv_id, role AS speaker FROM clean
 ), shown AS (
     SELECT c.*, s.speaker, c.role = s.speaker AS own,

@@ -76,6 +76,15 @@ def test_mix_of_odd_tables(spark):
     assert mixing.mix(docs.limit(0)).count() == 0
 
 
+def test_leaf_without_ids_gets_its_budget(spark):
+    rows = [(None, f"word{k} a b", "en", "src0", 0) for k in range(1000)] + [(k, "one two three", "de", "src0", 0) for k in range(1000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, mix_cut long").withColumn("mix_path", F.lit("mine"))
+    taken = mixing.mix(docs, share=(1, 2))
+    n = {r["lang"]: r["n"] for r in taken.groupBy("lang").agg(F.sum(F.col("mix.copies") * F.col("mix.n_tokens")).alias("n")).collect()}
+    assert 2990 <= n["en"] + n["de"] <= 3000 and n["en"] > 1500
+    assert {(r["mix_path"], r["mix_cut"]) for r in taken.collect()} == {("mine", 0)}
+
+
 def plain_pack(pieces, capacity, apart):
     foes = {frozenset(p) for p in apart}
     bins, out = [], []
@@ -177,6 +186,20 @@ def test_a_crowded_part_is_cut_into_sections(spark, monkeypatch):
     assert len(rows) == 10 and sum(r["n_turns"] for r in rows) == 95
 
 
+def test_sections_joined_are_the_dialogue(spark, monkeypatch):
+    turns = [(c, k % 3 if k % 7 else None, "xyz"[k % 2], f"text {k * 37 % 101}") for c in (1, None) for k in range(95)] + [(2, k, "x", "t") for k in range(200)]
+    frame = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").repartition(5)
+    view = lambda rows: {
+        key: "".join(r["rendered"] for r in sorted(rows, key=lambda r: (r["part"], r["section"])) if (r["conv_id"], r["speaker"]) == key)
+        for key in {(r["conv_id"], r["speaker"]) for r in rows}
+    }
+    whole = chat.perspectives(frame, part_turns=1000).collect()
+    monkeypatch.setattr(chat, "PART_ROWS", 10)
+    cut = chat.perspectives(frame).collect()
+    assert len(cut) > 3 * len(whole) and view(cut) == view(whole)
+    assert all(r["n_turns"] <= 10 for r in cut if r["conv_id"] != 2)
+
+
 def test_chat_uses_no_python(spark):
     plan = chat.rotated_chats(spark, SF_DIR)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
