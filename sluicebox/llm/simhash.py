@@ -215,9 +215,10 @@ def hamming_forest(codes: DataFrame, radius: int = RADIUS, cell_rows: int = CELL
 
 
 def near_duplicates(docs: DataFrame, radius: int = RADIUS, cell_rows: int = CELL_ROWS) -> DataFrame:
-    """``(doc_id, version, code, component_id)`` per row of ``docs``.
+    """``(doc_id, version, code, root, component_id)`` per row of ``docs``.
 
-    ``version`` is a hash of the text, ``code`` the fingerprint and ``component_id`` the least ``doc_id`` of the class.
+    ``version`` is a hash of the text, ``code`` the fingerprint, ``root`` names the class, also one without any id, and
+    ``component_id`` is the least ``doc_id`` of the class.
     """
     versions = docs.select("doc_id", "text", F.xxhash64(raw()).alias("version"))
     coded = spool(with_fingerprint(versions).select("doc_id", "version", "code"))
@@ -227,8 +228,8 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, cell_rows: int = CELL
     root = F.coalesce("root", "code")
     linked = rooted.select("code", "least", root.alias("root"))
     classes = linked.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = spool(linked.join(classes, "root").select("code", "component_id"))
-    return coded.join(named, "code").select("doc_id", "version", "code", "component_id")
+    named = spool(linked.join(classes, "root").select("code", "root", "component_id"))
+    return coded.join(named, "code").select("doc_id", "version", "code", "root", "component_id")
 
 
 def simhash_classes(spark, sf_dir) -> DataFrame:

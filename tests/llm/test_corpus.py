@@ -244,6 +244,18 @@ def test_pipeline_of_odd_and_empty_tables(spark, tmp_path):
         assert (found.count() > 0) == (name == "odd")
 
 
+def test_copies_without_or_with_equal_ids_are_reduced_to_one(spark):
+    line = "many words stand in this line and again in the next one "
+    rows = [(None, line * 9)] * 3 + [(None, line * 9 + " ")] * 2 + [(7, "short text")] * 3 + [(None, "short  text")] + [(8, "a b c"), (8, "a bc")]
+    docs = spark.createDataFrame([(*r, "en", f"src{k}", k) for k, r in enumerate(rows)], "doc_id long, text string, lang string, source string, n_chars long")
+    after = corpus_pipeline.drop_copies(spark, docs, SF_DIR).collect()
+    assert sorted(r["text"].replace(" ", "") for r in after) == sorted({t.replace(" ", "") for _, t in rows})
+    near = [(None, line * 40), (None, line * 40 + "x"), (None, line * 40 + "y"), (None, line * 40), (3, "other words altogether here and there")]
+    docs = spark.createDataFrame([(*r, "en", f"src{k}", k) for k, r in enumerate(near)], docs.schema)
+    after = corpus_pipeline.drop_near_copies(spark, docs, SF_DIR).collect()
+    assert len(after) == 2 and {r["doc_id"] for r in after} == {None, 3}
+
+
 def test_pipeline_packs_what_the_last_stage_kept(spark):
     docs = corpus_pipeline.table(spark, SF_DIR, "documents").select(*corpus_pipeline.COLUMNS)
     for _, stage in corpus_pipeline.STAGES[:-1]:
