@@ -2,8 +2,9 @@
 
 Each stage calls one operator on all that the stage before it kept; all but the last return the columns of
 ``documents``. Between stages the rows are written as Parquet and read again, so a lost executor repeats one stage at
-most. Rows are named by ``doc_id`` and a hash of their text: rows that repeat both stand or fall together, and rows
-that share an id only are judged one by one. Empty tables give no rows.
+most. Rows are named by ``doc_id`` and a hash of their text. Rows that share an id only are judged one by one. Of copies
+and of near copies one row stays, whether or not they have ids: of rows with the same id, or without one, the row with the
+least hash, and of rows that repeat both id and text the one with the least other columns. Empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -25,6 +26,26 @@ def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
     return docs.join(gone, same, "left_anti")
 
 
+def _tied(kept: DataFrame, group: str) -> DataFrame:
+    """Of rows that stay for one ``group`` all but those of its least version: ids that are null or repeat don't choose one."""
+    both = kept.groupBy(group).agg(F.min("version").alias("least"), F.max("version").alias("most")).where("least < most")
+    least = broadcast_if_small(spool(both.select(group, "least")))
+    return kept.join(least, group).where("version > least").select("doc_id", "version")
+
+
+def _once(docs: DataFrame) -> DataFrame:
+    """``docs`` with rows that agree in id and text reduced to one; nothing else is moved."""
+    names = docs.groupBy(F.col("doc_id").alias("again_id"), F.xxhash64(raw()).alias("again_version")).agg(F.count("*").alias("n"))
+    again = broadcast_if_small(spool(names.where("n > 1").drop("n")))
+    if again.isEmpty():
+        return docs
+    same = docs["doc_id"].eqNullSafe(again["again_id"]) & (F.xxhash64(raw()) == again["again_version"])
+    others = [name for name in docs.columns if name not in ("doc_id", "text")]
+    repeated = docs.join(again, same, "left_semi").groupBy("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    one = repeated.agg(F.min(F.struct(*others)).alias("others")).select("doc_id", "text", "others.*")
+    return docs.join(again, same, "left_anti").unionByName(one)
+
+
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier predicts to be good; it learns from the labelled rows of ``docs``."""
     ship_package(spark)
@@ -37,14 +58,18 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of every group of equal normalised texts."""
     ship_package(spark)
     judged = trie.exact_duplicates(docs.select("doc_id", "text", F.xxhash64(raw()).alias("version")))
-    return _without(docs, judged.where("not copies.kept").select("doc_id", "version"))
+    judged = spool(judged.select("doc_id", "version", "copies.kept", "copies.text_sha256"))
+    dropped = judged.where("not kept").select("doc_id", "version").unionByName(_tied(judged.where("kept"), "text_sha256"))
+    return _once(_without(docs, dropped))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the least id of every class of linked fingerprints."""
     ship_package(spark)
-    classes = simhash.near_duplicates(docs)
-    return _without(docs, classes.where("doc_id is distinct from component_id").select("doc_id", "version"))
+    classes = spool(simhash.near_duplicates(docs))
+    kept = classes.where("doc_id is not distinct from component_id")
+    dropped = classes.where("doc_id is distinct from component_id").select("doc_id", "version")
+    return _once(_without(docs, dropped.unionByName(_tied(kept, "root"))))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
