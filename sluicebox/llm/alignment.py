@@ -25,6 +25,7 @@ import hashlib
 import os
 from collections.abc import Iterator
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -117,7 +118,7 @@ def tokenizers(folder: str, file_a: str, file_b: str) -> Tokenizers:
 def _numbers(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
     """All numbers in a row, and how many each list has."""
     sizes = np.array([len(numbers) for numbers in lists], np.int64)
-    flat = np.fromiter((n for numbers in lists for n in numbers), np.int64, int(sizes.sum()))
+    flat = np.fromiter(chain.from_iterable(lists), np.int64, int(sizes.sum()))
     return flat, sizes
 
 
@@ -186,16 +187,23 @@ class Aligned:
 
         # Both token rows cover the same bytes, so ends can be counted over the whole slice.
         ends_a, ends_b = np.cumsum(kit.flat_a.size[ids_a]), np.cumsum(kit.flat_b.size[ids_b])
-        borders = np.intersect1d(ends_a, ends_b)
-        group_a, group_b = np.searchsorted(borders, ends_a), np.searchsorted(borders, ends_b)
-        owner = owner_a[np.searchsorted(group_a, np.arange(len(borders)))]
+        n_bytes = int(ends_a[-1]) if len(ends_a) else 0
+        shared = np.zeros(n_bytes + 1, bool)
+        shared[ends_a] = True
+        only_b = np.zeros(n_bytes + 1, bool)
+        only_b[ends_b] = True
+        shared &= only_b
+        nth = np.cumsum(shared)
+        group_a, group_b = nth[ends_a] - shared[ends_a], nth[ends_b] - shared[ends_b]
+        n_borders = int(nth[-1])
+        size_a, size_b = np.bincount(group_a, minlength=n_borders), np.bincount(group_b, minlength=n_borders)
+        owner = owner_a[np.cumsum(size_a) - size_a]
         self.n_groups = np.bincount(owner, minlength=n)
-        size_a, size_b = np.bincount(group_a, minlength=len(borders)), np.bincount(group_b, minlength=len(borders))
         self.n_links = np.zeros(n, np.int64)
         np.add.at(self.n_links, owner, size_a * size_b)
         self.sha = self._hashes(kit, ids_a, group_a, size_a, ids_b, group_b, size_b, n)
         self.keys, self.counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        for codes, groups in _expand(group_a, ids_a, group_b, ids_b, len(borders), kit.n_b):
+        for codes, groups in _expand(group_a, ids_a, group_b, ids_b, n_borders, kit.n_b):
             keys, counts = _merged(codes * BLOCK_DOCS + owner[groups], np.ones(len(codes), np.int64))
             self.keys, self.counts = np.r_[self.keys, keys], np.r_[self.counts, counts]
         self.keys, self.counts = _merged(self.keys, self.counts)
