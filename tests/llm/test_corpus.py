@@ -112,6 +112,27 @@ def test_packing_equals_plain_best_fit():
         assert packing.pack(pieces, 64, packing.APART) == plain_pack(pieces, 64, packing.APART)
 
 
+def test_packing_of_many_copies_equals_plain_best_fit():
+    import random
+
+    draw = random.Random(9)
+    for copies in (1, 40, 150):
+        pieces = [(12, draw.choice(["src1", "src2", "other", None]), 1) for _ in range(copies)]
+        pieces += [(draw.choice([12, 13, 30]), draw.choice(["src2", "src3", "src4"]), draw.choice([1, 2, 3, 4, 5])) for _ in range(200)]
+        pieces += [(draw.randint(1, 40), None, 100 + draw.randint(0, 400)) for _ in range(200)]
+        pieces.sort(key=lambda p: -p[0])
+        assert packing.pack(pieces, 64, packing.APART) == plain_pack(pieces, 64, packing.APART)
+
+
+def test_packing_passes_over_conflicts_without_walking_them():
+    import time
+
+    started = time.perf_counter()
+    places = packing.pack([(12, "src0", 1)] * 60_000 + [(6, None, 2)] * 60_000, packing.CAPACITY, packing.APART)
+    assert time.perf_counter() - started < 60
+    assert [b for b, _ in places] == [*range(60_000)] * 2
+
+
 def check_bins(rows, docs, capacity):
     """Every token once, no bin too full, no two pieces of a cluster and no parted sources in a bin."""
     words = {(i, s): n for i, s, n in docs}
