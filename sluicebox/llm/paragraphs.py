@@ -53,7 +53,7 @@ BLOCK = 512
 OUT_ROWS, OUT_WORDS, NAMES = 2_000, 200_000, 100_000
 MATRIX = 1 << 24
 PIECE_WORDS, PASSAGE_STARTS, START_WORDS = 40, 11, 4
-NEAR_WORDS = MIN_WORDS
+NEAR_WORDS, START_ROWS = MIN_WORDS, 64
 BLOCK_WORDS = 1 << 16
 _FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
@@ -96,6 +96,16 @@ def _joined(text: bytes, min_words: int = MIN_WORDS) -> list[tuple[int, int, int
     return [one for one in found if len(one[4]) >= min_words]
 
 
+def _name(words: bytes) -> tuple[bytes, int, int]:
+    """The name of joined words, also as two longs."""
+    name = hashlib.md5(words).digest()
+    return name, *(int.from_bytes(half, "big", signed=True) for half in (name[:8], name[8:]))
+
+
+def _batch(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], names)
+
+
 def shingles(words: list[bytes], size: int = SHINGLE) -> set[bytes]:
     return {b" ".join(words[k : k + size]) for k in range(max(len(words) - size + 1, 1))}
 
@@ -124,9 +134,9 @@ class MinHash:
 
 
 def paragraphs(docs: DataFrame, text: str = "text", min_words: int = MIN_WORDS, wrapped: bool = False) -> DataFrame:
-    """One row per paragraph: where it is, the name of its words (two longs), its words and its band values.
+    """One row per paragraph: where it is, the name of its words (two longs) and its band values.
 
-    Words and bands are null where the task has given them for the same words before, or where there is no shingle.
+    Bands are null where the task has given them for the same words before, or where there is no shingle.
     """
     bands, rows = tune()
     split = _joined if wrapped else _split
@@ -141,19 +151,16 @@ def paragraphs(docs: DataFrame, text: str = "text", min_words: int = MIN_WORDS,
 
             def out():
                 columns = list(zip(*held, strict=True))
-                kinds = [pa.int64()] * 8 + [pa.binary()]
-                names = ["doc_id", "paragraph", "start", "n_bytes", "n_lines", "n_words", "p", "q", "words"]
+                names = ["doc_id", "paragraph", "start", "n_bytes", "n_lines", "n_words", "p", "q"]
                 values = hasher.band_values(sets) if sets else np.zeros((0, bands), np.int64)
-                spread = np.array([line is not None for line in columns[-1]])
+                spread = np.array(columns[-1])
                 ends = np.r_[0, np.cumsum(spread) * bands].astype(np.int32)
                 flat = pa.ListArray.from_arrays(pa.array(ends, mask=np.r_[~spread, False]), pa.array(values.ravel()))
-                return pa.RecordBatch.from_arrays([*(pa.array(c, k) for c, k in zip(columns, kinds, strict=True)), flat], [*names, "bands"])
+                return pa.RecordBatch.from_arrays([*(pa.array(c, pa.int64()) for c in columns[:-1]), flat], [*names, "bands"])
 
             for doc_id, value in zip(batch.column("doc_id").to_pylist(), batch.column("raw"), strict=True):
                 for number, start, n_bytes, n_lines, words in split(value.as_py(), min_words):
-                    line = b" ".join(words)
-                    name = hashlib.md5(line).digest()
-                    p, q = (int.from_bytes(half, "big", signed=True) for half in (name[:8], name[8:]))
+                    name, p, q = _name(b" ".join(words))
                     fresh = len(words) >= SHINGLE and name not in named
                     if fresh:
                         if len(named) >= NAMES:
@@ -161,7 +168,7 @@ def paragraphs(docs: DataFrame, text: str = "text", min_words: int = MIN_WORDS,
                         named.add(name)
                         sets.append([xxhash.xxh64_intdigest(s) for s in shingles(words)])
                         size += len(words)
-                    held.append((doc_id, number, start, n_bytes, n_lines, len(words), p, q, line if fresh else None))
+                    held.append((doc_id, number, start, n_bytes, n_lines, len(words), p, q, fresh))
                     if len(held) >= OUT_ROWS or size >= OUT_WORDS:
                         yield out()
                         held, sets, size = [], [], 0
@@ -169,8 +176,36 @@ def paragraphs(docs: DataFrame, text: str = "text", min_words: int = MIN_WORDS,
                 yield out()
 
     places = "doc_id long, paragraph long, start long, n_bytes long, n_lines long, n_words long, p long, q long"
-    schema = f"{places}, words binary, bands array<long>"
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), raw(text).alias("raw")).mapInArrow(cut, schema)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), raw(text).alias("raw")).mapInArrow(cut, f"{places}, bands array<long>")
+
+
+def paragraph_words(docs: DataFrame, text: str = "text", min_words: int = MIN_WORDS, wrapped: bool = False) -> DataFrame:
+    """``(p, q, words)`` of the paragraphs with a shingle; a task gives the same words once."""
+    split = _joined if wrapped else _split
+
+    def cut(batches):
+        named: set[bytes] = set()
+        for batch in batches:
+            held: list[tuple] = []
+            size = 0
+            for value in batch.column("raw"):
+                for *_, words in split(value.as_py(), max(min_words, SHINGLE)):
+                    line = b" ".join(words)
+                    name, p, q = _name(line)
+                    if name in named:
+                        continue
+                    if len(named) >= NAMES:
+                        named.clear()
+                    named.add(name)
+                    held.append((p, q, line))
+                    size += len(words)
+                    if len(held) >= OUT_ROWS or size >= OUT_WORDS:
+                        yield _batch(held, ["p", "q", "words"])
+                        held, size = [], 0
+            if held:
+                yield _batch(held, ["p", "q", "words"])
+
+    return docs.select(raw(text).alias("raw")).mapInArrow(cut, "p long, q long, words binary")
 
 
 def _linked(texts: list[bytes], threshold: float) -> np.ndarray:
@@ -200,45 +235,54 @@ def _linked(texts: list[bytes], threshold: float) -> np.ndarray:
     return forest.roots()
 
 
-def paragraph_links(found: DataFrame, threshold: float = THRESHOLD, cell_rows: int = CELL_ROWS) -> DataFrame:
-    """Edges ``(a, b)`` between the names (hex) of similar paragraphs, few per paragraph. ``found`` is a table."""
-    banded = found.select("p", "q", F.posexplode("bands").alias("band", "value"))
-    buckets = banded.groupBy("band", "value").agg(F.min("p").alias("least"), F.max("p").alias("most")).where("least < most")
-    shared = broadcast_if_small(spool(buckets.select("band", "value")))
-    members = spool(banded.join(shared, ["band", "value"], "left_semi").distinct())
+def paragraph_links(found: DataFrame, lines: DataFrame, threshold: float = THRESHOLD, cell_rows: int = CELL_ROWS) -> DataFrame:
+    """Edges ``(a, b)`` between the names (hex) of similar paragraphs, few per paragraph.
+
+    ``found(p, q, bands)`` is a table; ``lines(p, q, words)`` may name the same words several times.
+    """
     name = F.xxhash64("p", "q")
-    same = members.groupBy("band", "value").agg(F.count("*").alias("n"), F.bit_xor(name).alias("x"), F.bit_xor(F.xxhash64(name)).alias("y"))
-    once = same.groupBy("n", "x", "y").agg(F.min(F.struct("band", "value")).alias("bucket")).select("bucket.*")
-    kept = members.join(once, ["band", "value"], "left_semi")
+    banded = found.select("p", "q", F.explode("bands").alias("value"))
+    buckets = banded.groupBy("value").agg(F.min(name).alias("least"), F.max(name).alias("most")).where("least < most")
+    shared = broadcast_if_small(spool(buckets.select("value")))
+    members = spool(banded.join(shared, "value", "left_semi").distinct())
+    same = members.groupBy("value").agg(F.count("*").alias("n"), F.bit_xor(name).alias("x"), F.bit_xor(F.xxhash64(name)).alias("y"))
+    once = same.groupBy("n", "x", "y").agg(F.min("value").alias("value")).select("value")
+    kept = members.join(once, "value", "left_semi")
     names = broadcast_if_small(spool(members.select("p", "q").distinct()))
-    words = found.where("words is not null").join(names, ["p", "q"], "left_semi").groupBy("p", "q").agg(F.any_value("words").alias("words"))
-    dealt = deal(spool(kept), ["band", "value"], F.struct("p", "q"), cell_rows)
-    keys = ["band", "value", "cell_i", "cell_j"]
+    words = lines.join(names, ["p", "q"], "left_semi").groupBy("p", "q").agg(F.any_value("words").alias("words"))
+    dealt = deal(spool(kept), ["value"], F.struct("p", "q"), cell_rows)
+    keys = ["value", "cell_i", "cell_j"]
+    return _cell_links(dealt.join(words, ["p", "q"]), keys, threshold)
+
+
+def _cell_links(rows: DataFrame, keys: list[str], threshold: float) -> DataFrame:
+    """Edges of the spanning forests of the links in every cell, that is among the ``(p, q, words)`` that agree in ``keys``."""
     columns = [*keys, "p", "q", "words"]
-    cells = dealt.join(words, ["p", "q"]).select(*columns).repartition(*keys).sortWithinPartitions(*keys, "p", "q")
+    named = list(dict.fromkeys([*keys, "p", "q"]))
+    cells = rows.select(*named, "words").repartition(*keys).sortWithinPartitions(*named)
 
     def linked(batches):
         def edges(cell):
-            texts = [row[2] for row in cell]
-            roots = _linked(texts, threshold)
+            roots = _linked([words for _, _, words in cell], threshold)
             return [(_hex(*cell[k][:2]), _hex(*cell[r][:2])) for k, r in enumerate(roots.tolist()) if k != r]
 
-        rows: list[tuple] = []
+        found: list[tuple] = []
         cell: list[tuple] = []
         current = None
         for batch in batches:
-            for *key, p, q, text in zip(*(batch.column(c).to_pylist() for c in columns), strict=True):
-                if key != current and cell:
-                    rows += edges(cell)
+            for *key, p, q, words in zip(*(batch.column(c).to_pylist() for c in columns), strict=True):
+                if key != current:
+                    found += edges(cell) if len(cell) > 1 else []
                     cell = []
                 current = key
-                cell.append((p, q, text))
-            if len(rows) > 10_000:
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], ["a", "b"])
-                rows = []
-        rows += edges(cell)
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], ["a", "b"])
+                if not cell or cell[-1][:2] != (p, q):
+                    cell.append((p, q, words))
+            if len(found) > 10_000:
+                yield _batch(found, ["a", "b"])
+                found = []
+        found += edges(cell) if len(cell) > 1 else []
+        if found:
+            yield _batch(found, ["a", "b"])
 
     return cells.mapInArrow(linked, "a string, b string")
 
@@ -259,8 +303,8 @@ def duplicate_paragraphs(
     With ``wrapped`` of joined lines instead of single ones; clusters of paragraphs of one line each are then left out.
     """
     found = spool(paragraphs(docs, text, min_words, wrapped))
-    roots = components(paragraph_links(found, threshold, cell_rows))
-    named = found.drop("words", "bands").withColumn("node", _node())
+    roots = components(paragraph_links(found, paragraph_words(docs, text, min_words, wrapped), threshold, cell_rows))
+    named = found.drop("bands").withColumn("node", _node())
     rooted = named.join(broadcast_if_small(roots), "node", "left").withColumn("root", F.coalesce("root", "node")).drop("node", "p", "q")
     placed = spool(rooted)
     place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "paragraph")
@@ -431,73 +475,90 @@ def _runs(found: DataFrame, shared: DataFrame, keys: list[str], size: int) -> Da
     )
 
 
-def near_passages(docs: DataFrame, text: str = "text", threshold: float = THRESHOLD, cell_rows: int = CELL_ROWS) -> DataFrame:
+def _begun_bands(pieces: DataFrame) -> DataFrame:
+    """``(p, q, bands)`` of ``pieces(p, q, words)``; bands of pieces with different starts ``p`` differ."""
+    bands, rows = tune()
+
+    def banded(batches):
+        hasher = MinHash(bands, rows)
+        for batch in batches:
+            for low in range(0, batch.num_rows, OUT_ROWS):
+                part = batch.slice(low, OUT_ROWS)
+                sets = [[xxhash.xxh64_intdigest(s) for s in shingles(words.split(b" "))] for words in part.column("words").to_pylist()]
+                begun = part.column("p").to_numpy() * np.int64(-7046029254386353131)
+                values = pa.array((hasher.band_values(sets) ^ begun[:, None]).ravel())
+                ends = pa.array(np.arange(part.num_rows + 1, dtype=np.int32) * bands)
+                yield pa.RecordBatch.from_arrays([part.column("p"), part.column("q"), pa.ListArray.from_arrays(ends, values)], ["p", "q", "bands"])
+
+    return pieces.mapInArrow(banded, "p long, q long, bands array<long>")
+
+
+def near_passages(
+    docs: DataFrame, text: str = "text", threshold: float = THRESHOLD, cell_rows: int = CELL_ROWS, start_rows: int = START_ROWS
+) -> DataFrame:
     """Every passage of at least 50 words that is like another but not equal to it, as ``shared_passages`` shows them.
 
-    Pieces of ``NEAR_WORDS`` words go through the bands and the exact Jaccard test of the paragraphs. Only pieces that
-    begin with the same words meet, so that pieces that overlap in one text are not taken as copies of each other; what
-    begins like no other piece is left out before words and bands are spread.
+    Pieces of ``NEAR_WORDS`` words meet only if they begin with the same words, so that pieces that overlap in one text
+    are not taken as copies of each other. A start below which all pieces are equal is left out before any words are
+    written. The different pieces of a start meet in one exact Jaccard test; a start with more than ``start_rows`` of
+    them is first parted by the bands of the paragraphs. Places are looked up again for the pieces with a like alone.
     """
-    bands, rows = tune()
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(raw(text)).alias("version"), raw(text).alias("raw"))
 
     def starts(batches):
         finder = PieceFinder(size=NEAR_WORDS)
         for batch in batches:
             texts = batch.column("raw")
             for low, high in slices(texts):
-                yield pa.RecordBatch.from_arrays([pa.array(finder.find(texts[low:high].to_pylist(), begun=True)[4])], ["g"])
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in finder.find(texts[low:high].to_pylist(), begun=True)[4:]], ["p", "q"])
 
-    def places(batches):
+    def lines(batches):
         finder = PieceFinder(size=NEAR_WORDS)
+        named: set[tuple[int, int]] = set()
         for batch in batches:
             texts = batch.column("raw")
             for low, high in slices(texts):
                 some = texts[low:high].to_pylist()
-                of, word, start, stop, g, _ = finder.find(some, begun=True)
-                named = [batch.column(c).take(pa.array(of + low)) for c in ("doc_id", "version")]
-                split = [text.lower().split() for text in some]
-                words = [b" ".join(split[o][w : w + NEAR_WORDS]) for o, w in zip(of.tolist(), word.tolist(), strict=True)]
-                for a in range(0, len(of), OUT_ROWS):
-                    part = slice(a, a + OUT_ROWS)
-                    columns = [*(n[part] for n in named), *(pa.array(c[part]) for c in (word, start, stop, g)), pa.array(words[part], pa.binary())]
-                    yield pa.RecordBatch.from_arrays(columns, ["doc_id", "version", "word", "start", "stop", "g", "words"])
+                found = finder.find(some, begun=True)
+                of, split, held = -1, [], []
+                for owner, word, p, q in zip(*(found[k].tolist() for k in (0, 1, 4, 5)), strict=True):
+                    if (p, q) in named:
+                        continue
+                    if len(named) >= NAMES:
+                        named.clear()
+                    named.add((p, q))
+                    if owner != of:
+                        of, split = owner, some[owner].lower().split()
+                    held.append((p, q, b" ".join(split[word : word + NEAR_WORDS])))
+                    if len(held) >= OUT_ROWS:
+                        yield _batch(held, ["p", "q", "words"])
+                        held = []
+                if held:
+                    yield _batch(held, ["p", "q", "words"])
 
-    def banded(batches):
-        hasher = MinHash(bands, rows)
-        named: set[bytes] = set()
+    def places(batches):
+        finder = PieceFinder(size=NEAR_WORDS)
         for batch in batches:
-            for low in range(0, batch.num_rows, OUT_ROWS):
-                part = batch.slice(low, OUT_ROWS)
-                names, lines, sets, begun = [], [], [], []
-                for g, line in zip(part.column("g").to_pylist(), part.column("words").to_pylist(), strict=True):
-                    name = hashlib.md5(line).digest()
-                    names.append([int.from_bytes(half, "big", signed=True) for half in (name[:8], name[8:])])
-                    fresh = name not in named
-                    lines.append(line if fresh else None)
-                    if fresh:
-                        if len(named) >= NAMES:
-                            named.clear()
-                        named.add(name)
-                        sets.append([xxhash.xxh64_intdigest(s) for s in shingles(line.split(b" "))])
-                        begun.append(g)
-                values = hasher.band_values(sets) if sets else np.zeros((0, bands), np.int64)
-                values = values ^ np.array(begun, np.int64)[:, None] * np.int64(-7046029254386353131)
-                spread = np.array([line is not None for line in lines])
-                ends = np.r_[0, np.cumsum(spread) * bands].astype(np.int32)
-                flat = pa.ListArray.from_arrays(pa.array(ends, mask=np.r_[~spread, False]), pa.array(values.ravel()))
-                kept = [part.column(c) for c in ("doc_id", "version", "word", "start", "stop")]
-                p, q = (pa.array(c, pa.int64()) for c in zip(*names, strict=True))
-                yield pa.RecordBatch.from_arrays([*kept, p, q, pa.array(lines, pa.binary()), flat], [*schema_names])
+            texts = batch.column("raw")
+            for low, high in slices(texts):
+                of, *numbers = finder.find(texts[low:high].to_pylist(), begun=True)
+                named = [batch.column(c).take(pa.array(of + low)) for c in ("doc_id", "version")]
+                yield pa.RecordBatch.from_arrays([*named, *map(pa.array, numbers)], ["doc_id", "version", "word", "start", "stop", "p", "q"])
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(raw(text)).alias("version"), raw(text).alias("raw"))
-    counted = texts.select("raw").mapInArrow(starts, "g long").groupBy("g").agg(F.count("*").alias("n"))
-    twice = broadcast_if_small(spool(counted.where("n > 1").select("g")))
-    cut = texts.mapInArrow(places, "doc_id long, version long, word long, start long, stop long, g long, words binary").join(twice, "g", "left_semi")
-    schema = "doc_id long, version long, word long, start long, stop long, p long, q long, words binary, bands array<long>"
-    schema_names = ["doc_id", "version", "word", "start", "stop", "p", "q", "words", "bands"]
-    found = spool(cut.mapInArrow(banded, schema))
-    roots = components(paragraph_links(found, threshold, cell_rows))
-    rooted = spool(found.drop("words", "bands").withColumn("node", _node()).join(broadcast_if_small(roots), "node").drop("p", "q", "node"))
+    pieces = texts.select("raw").mapInArrow(starts, "p long, q long").distinct()
+    counted = spool(pieces.groupBy("p").agg(F.count("*").alias("n")).where("n > 1"))
+    words = texts.select("raw").mapInArrow(lines, "p long, q long, words binary")
+    few = broadcast_if_small(counted.where(F.col("n") <= start_rows).select("p"))
+    many = counted.where(F.col("n") > start_rows).select("p")
+    links = spool(_cell_links(words.join(few, "p", "left_semi"), ["p"], threshold))
+    if not many.isEmpty():
+        crowded = spool(words.join(broadcast_if_small(many), "p", "left_semi").groupBy("p", "q").agg(F.any_value("words").alias("words")))
+        links = links.unionByName(paragraph_links(spool(_begun_bands(crowded)), crowded, threshold, cell_rows))
+    roots = components(links)
+    longs = [F.conv(F.substring("node", at, 16), 16, -10).cast("long").alias(c) for at, c in ((1, "p"), (17, "q"))]
+    rooted_names = broadcast_if_small(roots.select(*longs, "root"))
+    schema = "doc_id long, version long, word long, start long, stop long, p long, q long"
+    rooted = spool(texts.mapInArrow(places, schema).join(rooted_names, ["p", "q"]).drop("p", "q"))
     place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "start")
     clusters = rooted.groupBy("root").agg(F.count("*").alias("cluster_size"), F.min(place).alias("keep"))
     # In one text a place that overlaps the one that stays is no copy of it.

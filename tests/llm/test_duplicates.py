@@ -379,7 +379,8 @@ def test_every_place_of_a_passage_in_one_text_is_shown(spark):
     assert {r["doc_id"] for r in paragraphs.shared_passages(frame).collect()} == {7001, 7002}
 
 
-def test_edited_passages_inside_other_words_are_linked(spark):
+@pytest.mark.parametrize("start_rows", [paragraphs.START_ROWS, 0])
+def test_edited_passages_inside_other_words_are_linked(spark, start_rows):
     draw = random.Random(33)
 
     def prose(n):
@@ -393,7 +394,7 @@ def test_edited_passages_inside_other_words_are_linked(spark):
         want += [(8000 + 2 * k, 8000 + 2 * k, False), (8001 + 2 * k, 8000 + 2 * k, True)]
     given += [(9000, "z " * 300), (9001, " ".join(prose(300))), (None, None)]
     frame = spark.createDataFrame(given, "doc_id long, text string")
-    rows = paragraphs.near_passages(frame).collect()
+    rows = paragraphs.near_passages(frame, start_rows=start_rows).collect()
     made = [r for r in rows if r["doc_id"] != 9000]
     assert sorted({(r["doc_id"], r["keep_doc_id"], r["removed"]) for r in made}) == want
     texts = dict(given)
@@ -403,6 +404,35 @@ def test_edited_passages_inside_other_words_are_linked(spark):
     assert paragraphs.near_passages(frame.limit(0)).count() == 0
 
 
+def test_links_of_pieces_equal_brute_force_for_crowded_starts(spark):
+    draw = random.Random(40)
+    begin = ["alpha", "beta", "gamma", "delta"]
+    base = [draw.choices([f"w{k}" for k in range(90)], k=46) for _ in range(8)]
+    lines = []
+    for _ in range(120):
+        words = list(draw.choice(base))
+        words[draw.randrange(46)] = draw.choice(["x", "y"])
+        lines.append(begin + words)
+    rows = [(-7, k, " ".join(words).encode()) for k, words in enumerate(lines)] + [(9, -1, b"alone in its start")]
+    frame = spark.createDataFrame([*rows, rows[0]], "p long, q long, words binary")
+    sets = Sets()
+    for i, (p, q, a) in enumerate(rows):
+        for j, (other, _, b) in enumerate(rows[:i]):
+            x, y = (paragraphs.shingles(t.split()) for t in (a, b))
+            if p == other and len(x & y) / len(x | y) >= 0.8:
+                sets.join(i, j)
+    names = [paragraphs._hex(p, q) for p, q, _ in rows]
+    want = {frozenset(n for k, n in enumerate(names) if sets.root(k) == root) for root in {sets.root(k) for k in range(len(rows))}}
+    want = {group for group in want if len(group) > 1}
+    banded = paragraphs._begun_bands(frame.dropDuplicates(["p", "q"]))
+    for links in (paragraphs._cell_links(frame, ["p"], 0.8), paragraphs.paragraph_links(banded, frame, cell_rows=30)):
+        found = Sets()
+        for a, b in links.collect():
+            found.join(names.index(a), names.index(b))
+        got = {frozenset(n for k, n in enumerate(names) if found.root(k) == root) for root in {found.root(k) for k in range(len(rows))}}
+        assert {group for group in got if len(group) > 1} == want and len(want) > 3
+
+
 def test_exact_copies_of_other_bytes_and_clashing_names(spark):
     rows = [(1, b"a\xff b"), (2, b"a\xffb"), (3, b"\xc3\xa4 "), (4, b"\xc3\xa4")]
     docs = spark.createDataFrame(rows, "doc_id long, bytes binary").select("doc_id", F.col("bytes").cast("string").alias("text"))
