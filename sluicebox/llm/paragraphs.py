@@ -255,36 +255,47 @@ def paragraph_links(found: DataFrame, lines: DataFrame, threshold: float = THRES
     return _cell_links(dealt.join(words, ["p", "q"]), keys, threshold)
 
 
-def _cell_links(rows: DataFrame, keys: list[str], threshold: float) -> DataFrame:
-    """Edges of the spanning forests of the links in every cell, that is among the ``(p, q, words)`` that agree in ``keys``."""
+def _cell_links(rows: DataFrame, keys: list[str], threshold: float, single: bool = False) -> DataFrame:
+    """Edges of the spanning forests of the links in every cell, that is among the ``(p, q, words)`` that agree in ``keys``.
+
+    With ``single`` also the paragraphs that are alone in their cell, as rows without an edge.
+    """
     columns = [*keys, "p", "q", "words"]
     named = list(dict.fromkeys([*keys, "p", "q"]))
     cells = rows.select(*named, "words").repartition(*keys).sortWithinPartitions(*named)
 
     def linked(batches):
         def edges(cell):
+            if len(cell) < 2:
+                return [(None, None, *one) for one in cell] if single else []
             roots = _linked([words for _, _, words in cell], threshold)
-            return [(_hex(*cell[k][:2]), _hex(*cell[r][:2])) for k, r in enumerate(roots.tolist()) if k != r]
+            return [(_hex(*cell[k][:2]), _hex(*cell[r][:2]), None, None, None) for k, r in enumerate(roots.tolist()) if k != r]
 
+        def out():
+            kinds = [pa.string(), pa.string(), pa.int64(), pa.int64(), pa.binary()]
+            columns = [pa.array(c, kind) for c, kind in zip(zip(*found, strict=True), kinds, strict=True)]
+            return pa.RecordBatch.from_arrays(columns if single else columns[:2], names)
+
+        names = ["a", "b", "p", "q", "words"] if single else ["a", "b"]
         found: list[tuple] = []
         cell: list[tuple] = []
         current = None
         for batch in batches:
             for *key, p, q, words in zip(*(batch.column(c).to_pylist() for c in columns), strict=True):
                 if key != current:
-                    found += edges(cell) if len(cell) > 1 else []
+                    found += edges(cell)
                     cell = []
                 current = key
                 if not cell or cell[-1][:2] != (p, q):
                     cell.append((p, q, words))
             if len(found) > 10_000:
-                yield _batch(found, ["a", "b"])
+                yield out()
                 found = []
-        found += edges(cell) if len(cell) > 1 else []
+        found += edges(cell)
         if found:
-            yield _batch(found, ["a", "b"])
+            yield out()
 
-    return cells.mapInArrow(linked, "a string, b string")
+    return cells.mapInArrow(linked, "a string, b string, p long, q long, words binary" if single else "a string, b string")
 
 
 def _hex(p: int, q: int) -> str:
@@ -548,11 +559,11 @@ def near_passages(
     pieces = texts.select("raw").mapInArrow(starts, "p long, q long").distinct()
     counted = spool(pieces.groupBy("p").agg(F.count("*").alias("n")).where("n > 1"))
     words = texts.select("raw").mapInArrow(lines, "p long, q long, words binary")
-    few = broadcast_if_small(counted.where(F.col("n") <= start_rows).select("p"))
-    many = counted.where(F.col("n") > start_rows).select("p")
-    links = spool(_cell_links(words.join(few, "p", "left_semi"), ["p"], threshold))
-    if not many.isEmpty():
-        crowded = spool(words.join(broadcast_if_small(many), "p", "left_semi").groupBy("p", "q").agg(F.any_value("words").alias("words")))
+    alone = F.when(F.col("n") > start_rows, F.xxhash64("q")).otherwise(F.lit(0))
+    several = words.join(broadcast_if_small(counted), "p").withColumn("cell", alone)
+    found = spool(_cell_links(several, ["p", "cell"], threshold, single=True))
+    links, crowded = found.where("a is not null").select("a", "b"), found.where("a is null").select("p", "q", "words")
+    if not crowded.isEmpty():
         links = links.unionByName(paragraph_links(spool(_begun_bands(crowded)), crowded, threshold, cell_rows))
     roots = components(links)
     longs = [F.conv(F.substring("node", at, 16), 16, -10).cast("long").alias(c) for at, c in ((1, "p"), (17, "q"))]
