@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluicebox.functions import clean
@@ -159,15 +159,57 @@ select c_custkey, address, case
 """
 
 
-def normalise_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Normal forms of every whole document. SQL has no NFKC, so there is no oracle; tests compare with Python."""
-    body = F.col("text")
-    return table(spark, sf_dir, "documents").select(
+def _form_digests(documents: DataFrame, written: Column) -> DataFrame:
+    return documents.select(
         "doc_id",
-        F.md5(forms.header_form(body)).alias("header_md5"),
-        F.md5(forms.value_form(body)).alias("value_md5"),
-        F.md5(forms.query_form(body)).alias("query_md5"),
+        F.md5(forms.header_form(written)).alias("header_md5"),
+        F.md5(forms.value_form(written)).alias("value_md5"),
+        F.md5(forms.query_form(written)).alias("query_md5"),
+    )
+
+
+def normalise_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Normal forms of every whole document."""
+    return _form_digests(table(spark, sf_dir, "documents"), F.col("text"))
+
+
+def normalise_wide_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Normal forms of every whole document written in full width, between brackets, or before half-width kana."""
+    body, key = F.coalesce("text", F.lit("")), F.col("doc_id")
+    narrow = "".join(map(chr, range(0x21, 0x7F)))
+    written = choose(
+        key,
+        F.translate(body, " " + narrow, "\u3000" + "".join(chr(ord(c) + 0xFEE0) for c in narrow)),
+        F.concat(F.lit("㈱㍿①Ⅳ "), body, F.lit("\u3000㌔ﬁ…")),
+        F.concat(F.lit("(ﾊﾞｽ ﾃﾞﾎﾟ)"), body, F.lit("㎡ｱﾞ")),
     )
+    return _form_digests(table(spark, sf_dir, "documents"), written)
+
+
+# White space as a pattern of this SQL.
+_SPACE = r"[\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
+
+
+def _forms_sql(normal: str, bare: str) -> str:
+    """Digests of the forms of ``normal``; ``bare`` is what a header leaves of it."""
+    return f"""
+select doc_id, md5(regexp_replace({bare}, '{_SPACE}', '', 'g')) as header_md5,
+  md5(coalesce(replace(regexp_replace({normal}, '{_SPACE}', '', 'g'), ',', ''), '')) as value_md5,
+  md5(trim(regexp_replace({normal}, '{_SPACE}', ' ', 'g'))) as query_md5
+from s
+"""
+
+
+_UNQUOTED = f"""trim(trim(regexp_replace(replace(whole, chr(65279), ''), '^{_SPACE}|{_SPACE}$', '', 'g'), '"'), '''')"""
+# The documents hold no compatibility characters, so that composition is all there is to do.
+NORMAL_SQL = f"with s as (select doc_id, nfc_normalize(text) as whole from documents) {_forms_sql('whole', _UNQUOTED)}"
+# What was written wide or short, as it reads in full; quotes inside wide marks or other text are no quotes of a header.
+WIDE_SQL = f"""
+with d as (select doc_id, nfc_normalize(coalesce(text, '')) as body from documents),
+s as (select doc_id, case doc_id % 3 when 0 then body
+  when 1 then '(株)株式会社1IV ' || body || ' キロfi...' else '(バス デポ)' || body || 'm2ア' || chr(12441) end as whole from d)
+{_forms_sql('whole', "replace(whole, chr(65279), '')")}
+"""
 
 
 QUERIES = {
@@ -177,6 +219,7 @@ QUERIES = {
     "clean_timestamps": clean_timestamps,
     "complete_address": complete_address,
     "normalise_text": normalise_text,
+    "normalise_wide_text": normalise_wide_text,
 }
 SQL = {
     "clean_dates": DATES_SQL,
@@ -184,4 +227,6 @@ SQL = {
     "clean_numbers": NUMBERS_SQL,
     "clean_timestamps": TIMESTAMPS_SQL,
     "complete_address": ADDRESS_SQL,
+    "normalise_text": NORMAL_SQL,
+    "normalise_wide_text": WIDE_SQL,
 }

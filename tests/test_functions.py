@@ -135,3 +135,18 @@ def test_point_is_longitude_first_and_null_without_latitude(spark):
     frame = spark.createDataFrame([(35.0, 139.0), (None, 139.0)], "lat double, lon double")
     points = [row["p"] for row in frame.select(geo.point(F.col("lat"), F.col("lon")).alias("p")).collect()]
     assert (points[0]["x"], points[0]["y"], points[1]) == (139.0, 35.0, None)
+
+
+def test_nfkc_of_every_character_alone_and_after_others(spark):
+    points = [chr(n) for n in range(1, 0x110000) if not 0xD800 <= n <= 0xDFFF and unicodedata.category(chr(n)) not in ("Cn", "Co")]
+    for written in ("{}", "ｶ{}ｶﾞ{}", "한{}é{}"):
+        values = ["".join(written.format(c, c) + "\n" for c in points[n : n + 50]) for n in range(0, len(points), 50)]
+        singles = [written.format(c, c) for c in points[:12_000]]
+        for texts in (values, singles):
+            assert apply(spark, text.nfkc, texts) == [unicodedata.normalize("NFKC", v) for v in texts]
+
+
+def test_only_text_that_can_change_goes_to_python(spark):
+    own = ["が", "バス停", "é", "한글", "plain", "\u1680", "漢字"]
+    other = ["ｶﾞ", "①", "e\u0301", "か\u3099", "\u1100\u1161", "ﬁ", "\u212b", "\u0344", "\u3000"]
+    assert apply(spark, lambda c: c.rlike(text._changing()).cast("string"), own + other) == ["false"] * 7 + ["true"] * 9

@@ -9,7 +9,7 @@ from oracle import compare, connect
 from sluicebox.queries import all_queries, all_sql
 
 SF_DIR = "/root/testdata/sf0.001"
-WITHOUT_SQL = {"normalise_text"}
+WITHOUT_SQL = set()
 pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="driver tables are not here")
 
 
