@@ -90,8 +90,3 @@ def level_histogram(lookup: DataFrame, level: str = "geo_level", none: str = "no
     return counts.select(
         "level", "n", F.try_divide(F.col("n").cast("double"), total).alias("share")
     ).orderBy(F.col("n").desc(), "level")
-
-
-def sample_of(df: DataFrame, by: str, n: int = 3) -> DataFrame:
-    """The first few offenders, for a message."""
-    return df.orderBy(F.col(by).asc_nulls_last()).limit(n)

@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from sluicebox.functions import geo
-from sluicebox.operators import checks, lookup, series
+from sluicebox.operators import audit, checks, lookup, series
+from sluicebox.operators.audit import Key, Rules
 from sluicebox.plans import publish as publication
 
 
@@ -78,7 +79,8 @@ def test_histogram_most_common_first(spark):
     table = cached(spark, "A", "B").unionByName(cached(spark, "C", level=None)).unionByName(cached(spark, "D", level=""))
     table = table.unionByName(cached(spark, "E"))
     assert [tuple(r) for r in lookup.level_histogram(table).collect()] == [("residential_block", 3, 0.6), ("none", 2, 0.4)]
-    assert [r["address"] for r in lookup.sample_of(table, "address", 2).collect()] == ["A", "B"]
+    shown = audit.offending({"c": table.select("address")}, 2)
+    assert audit.least_offenders(shown, 2) == {"c": ['{"address":"A"}', '{"address":"B"}']}
 
 
 def test_generic_checks(spark):
@@ -179,3 +181,53 @@ def test_refused_version_leaves_the_published_one(spark, tmp_path):
     assert rows(publication.published(spark, root, "t")) == [("A",)]
     assert publication.publish({"t": addresses(spark, "B")}, audit, root).published
     assert rows(publication.published(spark, root, "t")) == [("B",)]
+
+
+BAD = [(1, "a"), (1, "a"), (2, None), (3, "x"), (4, "z"), (5, "y"), (6, "y"), (None, "a"), (None, "a")]
+
+
+def rules():
+    return Rules(
+        ["k", "v"],
+        broken={"v.not_null": F.col("v").isNull(), "v.known": ~F.col("v").isin("a", "b")},
+        ratios={"most": (F.col("k") > 0, F.col("v") == "a", 0.6), "none": (F.lit(False), F.lit(False), 1.0)},
+        keys={"k.unique": Key(["k"], nulls_differ=True), "both": Key(["k", "v"])},
+    )
+
+
+def test_rules_are_counted_while_a_table_is_written(spark, tmp_path):
+    bad = spark.createDataFrame(BAD, "k int, v string").repartition(3)
+    done = publication.publish({"t": bad}, lambda written: {}, str(tmp_path), {"t": rules()})
+    assert done.failed == {"t.v.not_null": 1, "t.v.known": 4, "t.most": 1, "t.k.unique": 1, "t.both": 2}
+    assert done.offenders == {
+        "t.v.not_null": ['{"k":2,"v":null}'],
+        "t.v.known": ['{"k":3,"v":"x"}', '{"k":4,"v":"z"}', '{"k":5,"v":"y"}'],
+        "t.k.unique": ['{"k":1}'],
+        "t.both": ['{"k":1,"v":"a"}', '{"k":null,"v":"a"}'],
+    }
+    assert not done.published
+
+
+def test_good_and_empty_tables_break_no_rule(spark, tmp_path):
+    good = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b"), (None, "a"), (None, "b")], "k int, v string")
+    for n, table in enumerate((good, good.limit(0), good.filter("k > 99"))):
+        done = publication.publish({"t": table}, lambda written: {}, str(tmp_path / str(n)), {"t": rules()})
+        assert (done.published, done.failed, done.offenders) == (True, {}, {})
+
+
+def test_offenders_of_other_checks_are_named(spark, tmp_path):
+    held = addresses(spark, "B", "A", "C", "D")
+    done = publication.publish({"t": held}, lambda written: {"none": written["t"], "some": written["t"].limit(0)}, str(tmp_path))
+    assert done.failed == {"none": 4}
+    assert done.offenders == {"none": ['{"address":"A"}', '{"address":"B"}', '{"address":"C"}']}
+
+
+def test_a_good_table_is_read_once_after_its_write(spark, tmp_path):
+    """Keys take one scan and one exchange, and what is counted during the write takes none."""
+    good = spark.range(1000).select("id", F.lit("a").alias("v"))
+    plan = audit.repeated_keys(publication.materialise(good.withColumnRenamed("id", "k"), str(tmp_path / "t")), rules().keys)
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert text.count("FileScan") == 1 and text.count("Exchange") == 1
+    watched, watch = audit.observed(good.withColumnRenamed("id", "k"), rules())
+    text = watched._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in text and watch is not None
