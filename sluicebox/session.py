@@ -5,8 +5,12 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from pathlib import Path
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +19,11 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 # A broadcast table is held by the driver and by every executor, so it has to stay well below their memory.
 BROADCAST_BYTES = 64 * 1024 * 1024
 
+# Threads of the driver that start jobs at the same time.
+THREADS = 4
+
+Given, Found = TypeVar("Given"), TypeVar("Found")
+
 
 def build_session(app_name: str = "sluicebox", master: str | None = None, **conf: object) -> SparkSession:
     """A session with the settings the operators are tuned for; ``conf`` overrides any of them."""
@@ -73,6 +82,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def side_by_side(spark: SparkSession, work: Callable[[Given], Found], given: Sequence[Given]) -> list[Found]:
+    """``work`` on each of ``given`` in threads that start their jobs in this session; the first error is raised."""
+    with ThreadPoolExecutor(THREADS) as pool:
+        return [run.result() for run in [pool.submit(inheritable_thread_target(spark)(work), each) for each in given]]
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Compute ``df`` once and cut its lineage at a reliable checkpoint, so a lost executor re-reads files only."""
     shared_dir(df.sparkSession)
