@@ -13,11 +13,13 @@ import unicodedata
 from collections.abc import Callable, Iterable
 from functools import cache
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from sluicebox.functions.batches import by_parts
+
 # The characters a Unicode-aware strip / ``\s`` removes.
 SPACES = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
@@ -47,9 +49,9 @@ def header_text(text: str) -> str:
     return "".join(nfkc_text(bare).split())
 
 
-@F.pandas_udf(StringType())
-def _in_python(texts: pd.Series) -> pd.Series:
-    return pd.Series([None if text is None else nfkc_text(text) for text in texts], dtype=object)
+@F.arrow_udf(StringType())
+def _in_python(texts: pa.Array) -> pa.Array:
+    return by_parts(lambda held: [None if text is None else nfkc_text(text) for text in held], pa.string(), texts)
 
 
 def _class(characters: Iterable[str]) -> str:

@@ -3,8 +3,10 @@
 import datetime
 import random
 import re
+import tracemalloc
 import unicodedata
 
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -150,3 +152,15 @@ def test_only_text_that_can_change_goes_to_python(spark):
     own = ["が", "バス停", "é", "한글", "plain", "\u1680", "漢字"]
     other = ["ｶﾞ", "①", "e\u0301", "か\u3099", "\u1100\u1161", "ﬁ", "\u212b", "\u0344", "\u3000"]
     assert apply(spark, lambda c: c.rlike(text._changing()).cast("string"), own + other) == ["false"] * 7 + ["true"] * 9
+
+
+def test_a_batch_of_long_texts_is_never_whole_in_python():
+    """Peak of a batch of 2,000 wide texts of 30 kB: far below what they take as Python strings (40 MB and more)."""
+    texts = pa.array(["Ａ" * 10_000, None] * 1_000)
+    tracemalloc.start()
+    normal = text._in_python.func(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert normal.to_pylist() == ["A" * 10_000, None] * 1_000
+    assert text._in_python.func(texts.slice(0, 0)).to_pylist() == []
+    assert peak < 8 << 20
