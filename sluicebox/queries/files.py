@@ -7,7 +7,6 @@ import io
 import zipfile
 from collections.abc import Iterator
 
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType
 
 from sluicebox import catalog
+from sluicebox.functions.batches import by_parts
 from sluicebox.functions.clean import count_number, fiscal_year
 from sluicebox.functions.text import strip
 from sluicebox.operators import headers
@@ -32,9 +32,9 @@ from sluicebox.sources.pages import page_links, pick_link
 # ---- CSV ----------------------------------------------------------------------------------------------------------
 
 
-@F.pandas_udf(BinaryType())
-def _encode(lines: pd.Series, encodings: pd.Series) -> pd.Series:
-    return pd.Series([line.encode(encoding) for line, encoding in zip(lines, encodings)], dtype=object)
+@F.arrow_udf(BinaryType())
+def _encode(lines: pa.Array, encodings: pa.Array) -> pa.Array:
+    return by_parts(lambda *held: [line.encode(encoding) for line, encoding in zip(*held)], pa.binary(), lines, encodings)
 
 
 def _write_encoded(lines: DataFrame, path: str, encoding: str, mark: str = "") -> None:
