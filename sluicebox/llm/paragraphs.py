@@ -31,16 +31,16 @@ that repeat are copies of each other; rows without an id stay only if all of the
 from __future__ import annotations
 
 import hashlib
-from collections import Counter
+from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluicebox.llm.cells import deal
-from sluicebox.llm.common import raw, slices, table
+from sluicebox.llm.common import SLICE_BYTES, raw, slices, table
 from sluicebox.llm.components import components
 from sluicebox.llm.simhash import Forest
 from sluicebox.llm.stats import SPACE
@@ -53,8 +53,11 @@ BLOCK = 512
 OUT_ROWS, OUT_WORDS, NAMES = 2_000, 200_000, 100_000
 MATRIX = 1 << 24
 PIECE_WORDS, PASSAGE_STARTS, START_WORDS = 40, 11, 4
-NEAR_WORDS, START_ROWS = MIN_WORDS, 64
+NEAR_WORDS, START_ROWS = MIN_WORDS, CELL_ROWS
+OFTEN, PAIRED, NARROW = 32, 1 << 19, 1 << 15
 BLOCK_WORDS = 1 << 16
+_PLAIN = np.frombuffer(bytes(range(256)).lower(), np.uint8).copy()
+_PLAIN[SPACE] = 32
 _FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 
 
@@ -110,6 +113,62 @@ def shingles(words: list[bytes], size: int = SHINGLE) -> set[bytes]:
     return {b" ".join(words[k : k + size]) for k in range(max(len(words) - size + 1, 1))}
 
 
+class _Powers:
+    """Powers of an odd factor and of its inverse modulo 2**64, as many as were asked for so far."""
+
+    def __init__(self, factor: int):
+        self.both = factor, pow(factor, -1, 1 << 64)
+        self.held = [np.ones(0, np.uint64), np.ones(0, np.uint64)]
+
+    def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if n > len(self.held[0]):
+            size = 1 << n.bit_length()
+            self.held = [np.cumprod(np.r_[np.uint64(1), np.full(size - 1, f, np.uint64)], dtype=np.uint64) for f in self.both]
+        return self.held[0][:n], self.held[1][:n]
+
+
+def _byte_values(seed: int) -> np.ndarray:
+    """A random number for every byte; letters count as lower case, and all white space is the same."""
+    found = np.random.default_rng(seed).integers(0, 1 << 63, 256, dtype=np.uint64)
+    found[65:91] = found[97:123]
+    found[SPACE] = found[32]
+    return found
+
+
+class Shingler:
+    """Hashes the shingles of joined words, as ``PieceFinder`` hashes its pieces."""
+
+    def __init__(self, size: int = SHINGLE):
+        self.size, self.values, self.powers = size, _byte_values(len(_FACTORS)), _Powers(_FACTORS[0])
+
+    def hashes(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The hashes of all shingles, text by text and with repeats, and how many each text has."""
+        stops = np.cumsum([len(text) + 1 for text in texts])
+        found, counts, low = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], 0
+        while low < len(texts):
+            before = stops[low - 1] if low else 0
+            high = max(int(np.searchsorted(stops, before + SLICE_BYTES, side="right")), low + 1)
+            for part, some in zip((found, counts), self._hashes(texts[low:high], stops[low:high] - before), strict=True):
+                part.append(some)
+            low = high
+        return np.concatenate(found), np.concatenate(counts)
+
+    def _hashes(self, texts: list[bytes], stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        data = np.frombuffer(b" ".join(texts), np.uint8)
+        gaps = np.flatnonzero(data == 32)
+        begins, ends = np.r_[0, gaps + 1], np.r_[gaps, len(data)]
+        behind = np.searchsorted(begins, stops)
+        first = np.r_[0, behind[:-1]]
+        counts = np.maximum(behind - first - self.size + 1, 1)
+        at = np.arange(counts.sum()) + np.repeat(first - np.cumsum(counts) + counts, counts)
+        last = np.minimum(at + self.size, np.repeat(behind, counts)) - 1
+        up, down = self.powers.upto(len(data))
+        total = np.r_[np.uint64(0), np.cumsum(self.values[data] * up, dtype=np.uint64)]
+        begin = begins[at]
+        found = (total[ends[last]] - total[begin]) * down[begin]
+        return (found ^ (found >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9), counts
+
+
 class MinHash:
     def __init__(self, bands: int, rows: int):
         self.bands, self.rows = bands, rows
@@ -117,16 +176,20 @@ class MinHash:
         self.factor = draw.integers(0, 1 << 63, bands * rows, dtype=np.uint64) | np.uint64(1)
         self.shift = draw.integers(0, 1 << 63, bands * rows, dtype=np.uint64)
 
-    def band_values(self, sets: list[list[int]]) -> np.ndarray:
-        """One row of band values per set of shingle hashes."""
-        flat = np.array([h for one in sets for h in one], np.uint64)
-        first = np.cumsum([0, *(len(one) for one in sets[:-1])])
-        least = np.empty((len(sets), len(self.factor)), np.uint64)
+    def band_values(self, flat: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """One row of band values per set of shingle hashes: ``flat`` has them set by set, ``counts`` how many each has."""
+        half = len(counts) // 2
+        if half and len(flat) > NARROW:
+            cut = counts[:half].sum()
+            return np.concatenate([self.band_values(flat[:cut], counts[:half]), self.band_values(flat[cut:], counts[half:])])
+        first = np.cumsum(counts) - counts
+        least = np.empty((len(counts), len(self.factor)), np.uint64)
         for k, (factor, shift) in enumerate(zip(self.factor, self.shift, strict=True)):
             mixed = flat * factor + shift
             mixed ^= mixed >> np.uint64(31)
-            least[:, k] = np.minimum.reduceat(mixed * np.uint64(0x9E3779B97F4A7C15), first)
-        values = np.zeros((len(sets), self.bands), np.uint64)
+            mixed *= np.uint64(0x9E3779B97F4A7C15)
+            least[:, k] = np.minimum.reduceat(mixed, first)
+        values = np.zeros((len(counts), self.bands), np.uint64)
         for row in range(self.rows):
             values = (values ^ least[:, row :: self.rows]) * np.uint64(0xBF58476D1CE4E5B9)
             values ^= values >> np.uint64(32)
@@ -142,17 +205,17 @@ def paragraphs(docs: DataFrame, text: str = "text", min_words: int = MIN_WORDS,
     split = _joined if wrapped else _split
 
     def cut(batches):
-        hasher = MinHash(bands, rows)
+        hasher, shingler = MinHash(bands, rows), Shingler()
         named: set[bytes] = set()
         for batch in batches:
             held: list[tuple] = []
-            sets: list[list[int]] = []
+            lines: list[bytes] = []
             size = 0
 
             def out():
                 columns = list(zip(*held, strict=True))
                 names = ["doc_id", "paragraph", "start", "n_bytes", "n_lines", "n_words", "p", "q"]
-                values = hasher.band_values(sets) if sets else np.zeros((0, bands), np.int64)
+                values = hasher.band_values(*shingler.hashes(lines)) if lines else np.zeros((0, bands), np.int64)
                 spread = np.array(columns[-1])
                 ends = np.r_[0, np.cumsum(spread) * bands].astype(np.int32)
                 flat = pa.ListArray.from_arrays(pa.array(ends, mask=np.r_[~spread, False]), pa.array(values.ravel()))
@@ -160,18 +223,19 @@ def paragraphs(docs: DataFrame, text: str = "text", min_words: int = MIN_WORDS,
 
             for doc_id, value in zip(batch.column("doc_id").to_pylist(), batch.column("raw"), strict=True):
                 for number, start, n_bytes, n_lines, words in split(value.as_py(), min_words):
-                    name, p, q = _name(b" ".join(words))
+                    line = b" ".join(words)
+                    name, p, q = _name(line)
                     fresh = len(words) >= SHINGLE and name not in named
                     if fresh:
                         if len(named) >= NAMES:
                             named.clear()
                         named.add(name)
-                        sets.append([xxhash.xxh64_intdigest(s) for s in shingles(words)])
+                        lines.append(line)
                         size += len(words)
                     held.append((doc_id, number, start, n_bytes, n_lines, len(words), p, q, fresh))
                     if len(held) >= OUT_ROWS or size >= OUT_WORDS:
                         yield out()
-                        held, sets, size = [], [], 0
+                        held, lines, size = [], [], 0
             if held:
                 yield out()
 
@@ -208,33 +272,92 @@ def paragraph_words(docs: DataFrame, text: str = "text", min_words: int = MIN_WO
     return docs.select(raw(text).alias("raw")).mapInArrow(cut, "p long, q long, words binary")
 
 
-def _linked(texts: list[bytes], threshold: float) -> np.ndarray:
-    """The root of each text in the forest of all links among them."""
-    sets = [shingles(text.split(b" ")) for text in texts]
-    often = Counter(s for one in sets for s in one)
-    numbers = {s: k for k, s in enumerate(s for s, n in often.items() if n > 1)}  # the others are common to no pair
-    ids = [[numbers[s] for s in one if s in numbers] for one in sets]
-    sizes = np.array([len(one) for one in sets], np.float32)
-    forest = Forest(len(ids))
-    block = max(min(BLOCK, MATRIX // max(len(numbers), 1)), 1)
-
-    def matrix(low: int) -> np.ndarray:
-        part = ids[low : low + block]
-        out = np.zeros((len(part), len(numbers)), np.float32)
-        for row, one in enumerate(part):
-            out[row, one] = 1
-        return out
-
-    for low in range(0, len(ids), block):
-        left = matrix(low)
-        for other in range(low, len(ids), block):
-            both = left @ (left if other == low else matrix(other)).T
-            either = sizes[low : low + block, None] + sizes[None, other : other + block] - both
-            a, b = np.nonzero(both >= threshold * either - 1e-4)
-            forest.join(a + low, b + other)
+def _linked(texts: list[bytes], threshold: float, ends: list[int] | None = None, shingler: Shingler | None = None) -> np.ndarray:
+    """The root of each text in the forest of all links among the texts of its cell; without ``ends`` all are one cell.
+
+    Common shingles are counted pair by pair where few texts of a cell hold them, by products of 0/1 matrices elsewhere.
+    """
+    n = len(texts)
+    ends = [n] if ends is None else ends
+    begins = [0, *ends[:-1]]
+    cells = np.repeat(np.arange(len(ends)), np.subtract(ends, begins))
+    code, counts = (shingler or Shingler()).hashes(texts)
+    rows = np.repeat(np.arange(n), counts)
+    code += cells[rows].astype(np.uint64) * np.uint64(_FACTORS[0])  # the same words in two cells are two codes
+    order = np.argsort(code, kind="stable")
+    code, rows = code[order], rows[order]
+    fresh = np.r_[True, (code[1:] != code[:-1]) | (rows[1:] != rows[:-1])][: len(code)]
+    code, rows = code[fresh], rows[fresh]
+    sizes = np.bincount(rows, minlength=n).astype(np.float64)
+    first = np.flatnonzero(np.r_[True, code[1:] != code[:-1]][: len(code)])
+    holders = np.diff(np.r_[first, len(code)])
+    holders = np.repeat(holders, holders)
+    few = OFTEN if len(code) <= PAIRED else 1
+    some = (holders > 1) & (holders <= few)
+    paired, owner = code[some], rows[some]
+    pairs = [np.zeros(0, np.int64)]
+    for step in range(1, few):
+        same = np.flatnonzero(paired[step:] == paired[:-step])
+        if not len(same):
+            break
+        pairs.append(owner[same] * n + owner[same + step])
+    met, common = np.unique(np.concatenate(pairs), return_counts=True)
+    a, b = np.divmod(met, max(n, 1))
+    dense = np.zeros(len(ends), bool)
+    dense[cells[rows[holders > few]]] = True
+    forest = Forest(n)
+    alike = ~dense[cells[a]] & (common >= threshold * (sizes[a] + sizes[b] - common) - 1e-4)
+    forest.join(a[alike], b[alike])
+    for cell in np.flatnonzero(dense).tolist():
+        low, high = begins[cell], ends[cell]
+        often = (holders > few) & (rows >= low) & (rows < high)
+        member = rows[often] - low
+        held, column = np.unique(code[often], return_inverse=True)
+        part = slice(*np.searchsorted(a, [low, high]))
+        x, y, n_met = a[part] - low, b[part] - low, common[part]
+        block = max(min(BLOCK, MATRIX // len(held)), 1)
+
+        def matrix(at: int) -> np.ndarray:
+            inside = (member >= at) & (member < at + block)
+            out = np.zeros((min(block, high - low - at), len(held)), np.float32)
+            out[member[inside] - at, column[inside]] = 1
+            return out
+
+        for at in range(0, high - low, block):
+            left = matrix(at)
+            for other in range(at, high - low, block):
+                both = left @ (left if other == at else matrix(other)).T
+                inside = (x >= at) & (x < at + block) & (y >= other) & (y < other + block)
+                both[x[inside] - at, y[inside] - other] += n_met[inside]
+                own, others = (sizes[low + k : low + min(k + block, high - low)] for k in (at, other))
+                near = np.nonzero(both >= threshold * (own[:, None] + others[None, :] - both) - 1e-4)
+                forest.join(near[0] + low + at, near[1] + low + other)
     return forest.roots()
 
 
+def _whole_cells(batches, keys: list[str]) -> Iterator[tuple[list[tuple], list[int]]]:
+    """Different ``(p, q, words)`` of some whole cells, and where each cell ends, from batches sorted by the cells' keys."""
+    held: list[tuple] = []
+    ends: list[int] = []
+    size, current = 0, None
+    for batch in batches:
+        columns = (batch.column(c).to_pylist() for c in [*keys, "p", "q", "words"])
+        for *key, p, q, words in zip(*columns, strict=True):
+            if key != current:
+                if held:
+                    ends.append(len(held))
+                if len(held) >= OUT_ROWS or size >= OUT_WORDS * 8:
+                    yield held, ends
+                    held, ends, size = [], [], 0
+                current = key
+            elif held[-1][:2] == (p, q):
+                continue
+            held.append((p, q, words))
+            size += len(words)
+    if held:
+        yield held, [*ends, len(held)]
+
+
 def paragraph_links(found: DataFrame, lines: DataFrame, threshold: float = THRESHOLD, cell_rows: int = CELL_ROWS) -> DataFrame:
     """Edges ``(a, b)`` between the names (hex) of similar paragraphs, few per paragraph.
 
@@ -255,55 +378,66 @@ def paragraph_links(found: DataFrame, lines: DataFrame, threshold: float = THRES
     return _cell_links(dealt.join(words, ["p", "q"]), keys, threshold)
 
 
-def _cell_links(rows: DataFrame, keys: list[str], threshold: float, single: bool = False) -> DataFrame:
-    """Edges of the spanning forests of the links in every cell, that is among the ``(p, q, words)`` that agree in ``keys``.
-
-    With ``single`` also the paragraphs that are alone in their cell, as rows without an edge.
-    """
-    columns = [*keys, "p", "q", "words"]
+def _by_cell(rows: DataFrame, keys: list[str]) -> DataFrame:
     named = list(dict.fromkeys([*keys, "p", "q"]))
-    cells = rows.select(*named, "words").repartition(*keys).sortWithinPartitions(*named)
+    return rows.select(*named, "words").repartition(*keys).sortWithinPartitions(*named)
+
+
+def _cell_links(rows: DataFrame, keys: list[str], threshold: float) -> DataFrame:
+    """Edges of the spanning forests of the links in every cell, that is among the ``(p, q, words)`` that agree in ``keys``."""
 
     def linked(batches):
-        def edges(cell):
-            if len(cell) < 2:
-                return [(None, None, *one) for one in cell] if single else []
-            roots = _linked([words for _, _, words in cell], threshold)
-            return [(_hex(*cell[k][:2]), _hex(*cell[r][:2]), None, None, None) for k, r in enumerate(roots.tolist()) if k != r]
-
-        def out():
-            kinds = [pa.string(), pa.string(), pa.int64(), pa.int64(), pa.binary()]
-            columns = [pa.array(c, kind) for c, kind in zip(zip(*found, strict=True), kinds, strict=True)]
-            return pa.RecordBatch.from_arrays(columns if single else columns[:2], names)
-
-        names = ["a", "b", "p", "q", "words"] if single else ["a", "b"]
-        found: list[tuple] = []
-        cell: list[tuple] = []
-        current = None
-        for batch in batches:
-            for *key, p, q, words in zip(*(batch.column(c).to_pylist() for c in columns), strict=True):
-                if key != current:
-                    found += edges(cell)
-                    cell = []
-                current = key
-                if not cell or cell[-1][:2] != (p, q):
-                    cell.append((p, q, words))
-            if len(found) > 10_000:
-                yield out()
-                found = []
-        found += edges(cell)
-        if found:
-            yield out()
+        shingler = Shingler()
+        for cell, ends in _whole_cells(batches, keys):
+            roots = _linked([words for *_, words in cell], threshold, ends, shingler).tolist()
+            found = [(_hex(*cell[k][:2]), _hex(*cell[r][:2])) for k, r in enumerate(roots) if k != r]
+            if found:
+                yield _batch(found, ["a", "b"])
+
+    return _by_cell(rows, keys).mapInArrow(linked, "a string, b string")
 
-    return cells.mapInArrow(linked, "a string, b string, p long, q long, words binary" if single else "a string, b string")
+
+def _cell_roots(rows: DataFrame, keys: list[str], threshold: float) -> DataFrame:
+    """``(p, q, root)`` of all that have a link in their cell, for cells that no link leaves: ``root`` is the least name.
+
+    Those that are alone in their cell come with their words instead of a root.
+    """
+
+    def rooted(batches):
+        kinds = {"p": pa.int64(), "q": pa.int64(), "root": pa.string(), "words": pa.binary()}
+        shingler = Shingler()
+        for cell, ends in _whole_cells(batches, keys):
+            roots = _linked([words for *_, words in cell], threshold, ends, shingler)
+            linked = np.bincount(roots, minlength=len(cell)) > 1
+            found: list[tuple] = [(*cell[high - 1][:2], None, cell[high - 1][2]) for low, high in zip([0, *ends], ends, strict=False) if high - low == 1]
+            least: dict[int, str] = {}
+            for k in np.flatnonzero(linked[roots]).tolist():
+                name, root = _hex(*cell[k][:2]), int(roots[k])
+                least[root] = min(least.get(root, name), name)
+            found += [(*cell[k][:2], least[int(roots[k])], None) for k in np.flatnonzero(linked[roots]).tolist()]
+            if found:
+                columns = zip(zip(*found, strict=True), kinds.values(), strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in columns], list(kinds))
+
+    return _by_cell(rows, keys).mapInArrow(rooted, "p long, q long, root string, words binary")
 
 
 def _hex(p: int, q: int) -> str:
     return f"{p & (1 << 64) - 1:016x}{q & (1 << 64) - 1:016x}"
 
 
-def _node():
-    return F.lower(F.concat(F.lpad(F.hex("p"), 16, "0"), F.lpad(F.hex("q"), 16, "0")))
+def _node(p: str = "p", q: str = "q") -> Column:
+    return F.lower(F.concat(F.lpad(F.hex(p), 16, "0"), F.lpad(F.hex(q), 16, "0")))
+
+
+def _rooted(roots: DataFrame) -> DataFrame:
+    """``(p, q, root)`` of ``roots(node, root)``, names as longs; ``root`` is a struct of two."""
+
+    def half(name: str, at: int) -> Column:
+        return F.conv(F.substring(name, at, 16), 16, -10).cast("long")
+
+    root = F.struct(half("root", 1).alias("p"), half("root", 17).alias("q")).alias("root")
+    return roots.select(half("node", 1).alias("p"), half("node", 17).alias("q"), root)
 
 
 def duplicate_paragraphs(
@@ -315,9 +449,8 @@ def duplicate_paragraphs(
     """
     found = spool(paragraphs(docs, text, min_words, wrapped))
     roots = components(paragraph_links(found, paragraph_words(docs, text, min_words, wrapped), threshold, cell_rows))
-    named = found.drop("bands").withColumn("node", _node())
-    rooted = named.join(broadcast_if_small(roots), "node", "left").withColumn("root", F.coalesce("root", "node")).drop("node", "p", "q")
-    placed = spool(rooted)
+    rooted = found.drop("bands").join(broadcast_if_small(_rooted(roots)), ["p", "q"], "left")
+    placed = spool(rooted.withColumn("root", F.coalesce("root", F.struct("p", "q"))).drop("p", "q"))
     place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "paragraph")
     clusters = placed.groupBy("root").agg(F.count("*").alias("cluster_size"), F.min(place).alias("keep"), F.max("n_lines").alias("most"))
     clusters = clusters.where(F.col("cluster_size") > 1).where(F.col("most") > (1 if wrapped else 0))
@@ -325,34 +458,12 @@ def duplicate_paragraphs(
     stays = F.col("doc_id").eqNullSafe(F.col("keep.doc_id")) & (F.col("paragraph") == F.col("keep.paragraph"))
     return both.select(
         "doc_id", "paragraph", "start", "n_bytes", "n_words",
-        F.col("root").alias("cluster_id"), "cluster_size",
+        _node("root.p", "root.q").alias("cluster_id"), "cluster_size",
         F.col("keep.doc_id").alias("keep_doc_id"), F.col("keep.paragraph").alias("keep_paragraph"),
         (~stays).alias("removed"),
     )
 
 
-class _Powers:
-    """Powers of an odd factor and of its inverse modulo 2**64, as many as were asked for so far."""
-
-    def __init__(self, factor: int):
-        self.both = factor, pow(factor, -1, 1 << 64)
-        self.held = [np.ones(0, np.uint64), np.ones(0, np.uint64)]
-
-    def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if n > len(self.held[0]):
-            size = 1 << n.bit_length()
-            self.held = [np.cumprod(np.r_[np.uint64(1), np.full(size - 1, f, np.uint64)], dtype=np.uint64) for f in self.both]
-        return self.held[0][:n], self.held[1][:n]
-
-
-def _byte_values(seed: int) -> np.ndarray:
-    """A random number for every byte; letters count as lower case, and all white space is the same."""
-    found = np.random.default_rng(seed).integers(0, 1 << 63, 256, dtype=np.uint64)
-    found[65:91] = found[97:123]
-    found[SPACE] = found[32]
-    return found
-
-
 def _apart(at: np.ndarray, group: np.ndarray, size: int) -> np.ndarray:
     """Which of the places, sorted by group, begin behind the end of the last such piece of their group."""
     found, of, free = [], None, 0
@@ -415,21 +526,38 @@ class PieceFinder:
         sums = []
         for values, powers in self.kinds:
             up, down = powers.upto(len(squeezed))
-            sums.append((np.r_[np.uint64(0), np.cumsum(values[squeezed] * up, dtype=np.uint64)], down))
+            total = np.zeros(len(squeezed) + 1, np.uint64)
+            np.multiply(values.take(squeezed), up, out=total[1:])
+            np.cumsum(total, out=total)
+            sums.append((total, down))
 
-        def hashed(kind: int, first: np.ndarray, size: int) -> np.ndarray:
+        def hashed(kind: int, first: np.ndarray | slice, size: int) -> np.ndarray:
             total, down = sums[kind]
-            found = (total[end[first + size - 1]] - total[start[first]]) * down[start[first]]
+            begin = start[first]
+            found = (total[end[size - 1 :][first]] - total[begin]) * down[begin]
             return (found ^ (found >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
 
-        least = hashed(0, np.arange(len(begins) - self.size + 1), START_WORDS)
+        least = hashed(0, slice(len(begins) - self.size + 1), START_WORDS)
         chosen = np.lib.stride_tricks.sliding_window_view(least, PASSAGE_STARTS).argmin(1)
         reach = self.size + PASSAGE_STARTS - 1
         within = owner[: len(chosen)] == owner[reach - 1 :]
-        at = np.unique((chosen + np.arange(len(chosen)))[within])
+        starts = np.zeros(len(least), bool)
+        starts[(chosen + np.arange(len(chosen)))[within]] = True
+        at = np.flatnonzero(starts)
         return at, hashed(0, at, START_WORDS if begun else self.size).view(np.int64), hashed(1, at, self.size).view(np.int64)
 
 
+def _cut(texts: list[bytes], of: np.ndarray, start: np.ndarray, stop: np.ndarray) -> list[bytes]:
+    """The words of pieces of the texts ``of``, joined."""
+    data = np.frombuffer(b" ".join(texts), np.uint8)
+    offsets = np.cumsum([0, *(len(text) + 1 for text in texts)])[of]
+    kept = ~SPACE[data]
+    kept[1:] |= kept[:-1].copy()  # each word with one byte of the white space after it
+    plain = _PLAIN[data[kept]].tobytes()
+    at = np.r_[0, np.cumsum(kept)]
+    return [plain[low:high] for low, high in zip(at[start + offsets].tolist(), at[stop + offsets].tolist(), strict=True)]
+
+
 def shared_passages(docs: DataFrame, text: str = "text", every: bool = False) -> DataFrame:
     """Every passage of at least 40 words that other rows hold too: its place, where it is first, whether this one goes.
 
@@ -464,7 +592,7 @@ def shared_passages(docs: DataFrame, text: str = "text", every: bool = False) ->
 
 def _runs(found: DataFrame, shared: DataFrame, keys: list[str], size: int) -> DataFrame:
     """Pieces of ``shared`` clusters, judged; those of a text that overlap and stay or go for one document are one row."""
-    once = found.dropDuplicates(["doc_id", "version", "word"])
+    once = found.repartition("doc_id", "version").dropDuplicates(["doc_id", "version", "word"])
     stays = F.col("doc_id").eqNullSafe(F.col("keep.doc_id")) & (F.col("start") == F.col("keep.start"))
     judged = once.join(broadcast_if_small(shared), keys).withColumn("removed", ~stays)
     along = Window.partitionBy("doc_id", "version").orderBy("word")
@@ -472,15 +600,15 @@ def _runs(found: DataFrame, shared: DataFrame, keys: list[str], size: int) -> Da
     differs = ~F.lag("keep.doc_id").over(along).eqNullSafe(F.col("keep.doc_id")) | (F.lag("removed").over(along) != F.col("removed"))
     begins = F.when(F.lag("word").over(along).isNull() | apart | differs, 1).otherwise(0)
     runs = judged.withColumn("begins", begins).withColumn("run", F.sum("begins").over(along))
-    name = _node() if keys == ["p", "q"] else F.col(keys[0])
-    first = F.min(F.struct("word", "start", name.alias("cluster_id"), "cluster_size", "keep")).alias("first")
+    name = _node("first.p", "first.q") if keys == ["p", "q"] else F.col(f"first.{keys[0]}")
+    first = F.min(F.struct("word", "start", *keys, "cluster_size", "keep")).alias("first")
     whole = runs.groupBy("doc_id", "version", "run").agg(first, F.max("stop").alias("stop"), F.max("word").alias("last"), F.first("removed").alias("removed"))
     return whole.select(
         "doc_id",
         F.col("first.start").alias("start"),
         (F.col("stop") - F.col("first.start")).alias("n_bytes"),
         (F.col("last") + size - F.col("first.word")).alias("n_words"),
-        "first.cluster_id", "first.cluster_size",
+        name.alias("cluster_id"), "first.cluster_size",
         F.col("first.keep.doc_id").alias("keep_doc_id"), F.col("first.keep.start").alias("keep_start"),
         "removed",
     )
@@ -491,13 +619,13 @@ def _begun_bands(pieces: DataFrame) -> DataFrame:
     bands, rows = tune()
 
     def banded(batches):
-        hasher = MinHash(bands, rows)
+        hasher, shingler = MinHash(bands, rows), Shingler()
         for batch in batches:
             for low in range(0, batch.num_rows, OUT_ROWS):
                 part = batch.slice(low, OUT_ROWS)
-                sets = [[xxhash.xxh64_intdigest(s) for s in shingles(words.split(b" "))] for words in part.column("words").to_pylist()]
+                sets = shingler.hashes(part.column("words").to_pylist())
                 begun = part.column("p").to_numpy() * np.int64(-7046029254386353131)
-                values = pa.array((hasher.band_values(sets) ^ begun[:, None]).ravel())
+                values = pa.array((hasher.band_values(*sets) ^ begun[:, None]).ravel())
                 ends = pa.array(np.arange(part.num_rows + 1, dtype=np.int32) * bands)
                 yield pa.RecordBatch.from_arrays([part.column("p"), part.column("q"), pa.ListArray.from_arrays(ends, values)], ["p", "q", "bands"])
 
@@ -525,27 +653,20 @@ def near_passages(
 
     def lines(batches):
         finder = PieceFinder(size=NEAR_WORDS)
-        named: set[tuple[int, int]] = set()
+        named = np.zeros(0, np.int64)
         for batch in batches:
             texts = batch.column("raw")
             for low, high in slices(texts):
                 some = texts[low:high].to_pylist()
-                found = finder.find(some, begun=True)
-                of, split, held = -1, [], []
-                for owner, word, p, q in zip(*(found[k].tolist() for k in (0, 1, 4, 5)), strict=True):
-                    if (p, q) in named:
-                        continue
-                    if len(named) >= NAMES:
-                        named.clear()
-                    named.add((p, q))
-                    if owner != of:
-                        of, split = owner, some[owner].lower().split()
-                    held.append((p, q, b" ".join(split[word : word + NEAR_WORDS])))
-                    if len(held) >= OUT_ROWS:
-                        yield _batch(held, ["p", "q", "words"])
-                        held = []
-                if held:
-                    yield _batch(held, ["p", "q", "words"])
+                of, _, start, stop, p, q = finder.find(some, begun=True)
+                _, fresh = np.unique(q, return_index=True)
+                fresh = fresh[~np.isin(q[fresh], named)]
+                named = np.r_[named, q[fresh]] if len(named) < NAMES else q[fresh]
+                words = _cut(some, of[fresh], start[fresh], stop[fresh])
+                for at in range(0, len(fresh), OUT_ROWS):
+                    part = slice(at, at + OUT_ROWS)
+                    columns = [pa.array(p[fresh[part]]), pa.array(q[fresh[part]]), pa.array(words[part], pa.binary())]
+                    yield pa.RecordBatch.from_arrays(columns, ["p", "q", "words"])
 
     def places(batches):
         finder = PieceFinder(size=NEAR_WORDS)
@@ -556,30 +677,32 @@ def near_passages(
                 named = [batch.column(c).take(pa.array(of + low)) for c in ("doc_id", "version")]
                 yield pa.RecordBatch.from_arrays([*named, *map(pa.array, numbers)], ["doc_id", "version", "word", "start", "stop", "p", "q"])
 
-    pieces = texts.select("raw").mapInArrow(starts, "p long, q long").distinct()
-    counted = spool(pieces.groupBy("p").agg(F.count("*").alias("n")).where("n > 1"))
+    pieces = texts.select("raw").mapInArrow(starts, "p long, q long").groupBy("p")
+    ranges = pieces.agg(F.min("q").alias("least"), F.max("q").alias("most"), F.count("*").alias("places"))
+    counted = spool(ranges.where("least < most").select("p", "places"))
     words = texts.select("raw").mapInArrow(lines, "p long, q long, words binary")
-    alone = F.when(F.col("n") > start_rows, F.xxhash64("q")).otherwise(F.lit(0))
+    alone = F.when(F.col("places") > start_rows, F.xxhash64("q")).otherwise(F.lit(0))
     several = words.join(broadcast_if_small(counted), "p").withColumn("cell", alone)
-    found = spool(_cell_links(several, ["p", "cell"], threshold, single=True))
-    links, crowded = found.where("a is not null").select("a", "b"), found.where("a is null").select("p", "q", "words")
-    if not crowded.isEmpty():
-        links = links.unionByName(paragraph_links(spool(_begun_bands(crowded)), crowded, threshold, cell_rows))
-    roots = components(links)
-    longs = [F.conv(F.substring("node", at, 16), 16, -10).cast("long").alias(c) for at, c in ((1, "p"), (17, "q"))]
-    rooted_names = broadcast_if_small(roots.select(*longs, "root"))
+    found = spool(_cell_roots(several, ["p", "cell"], threshold))
+    rooted_names = [found.where("root is not null").select("p", "q", "root")]
+    crowded = found.where("root is null").select("p", "q", "words")
+    if not crowded.isEmpty():  # starts of many places; some have few different pieces
+        few = crowded.groupBy("p").agg(F.count("*").alias("n")).where(F.col("n") <= start_rows).select("p")
+        few = broadcast_if_small(spool(few))
+        rooted_names.append(spool(_cell_roots(crowded.join(few, "p", "left_semi"), ["p"], threshold)).select("p", "q", "root"))
+        rest = spool(crowded.join(few, "p", "left_anti"))
+        if not rest.isEmpty():
+            roots = components(paragraph_links(spool(_begun_bands(rest)), rest, threshold, cell_rows))
+            rooted_names.append(_rooted(roots).withColumn("root", _node("root.p", "root.q")))
+    names = broadcast_if_small(reduce(DataFrame.unionByName, rooted_names))
     schema = "doc_id long, version long, word long, start long, stop long, p long, q long"
-    rooted = spool(texts.mapInArrow(places, schema).join(rooted_names, ["p", "q"]).drop("p", "q"))
-    place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "start")
-    clusters = rooted.groupBy("root").agg(F.count("*").alias("cluster_size"), F.min(place).alias("keep"))
+    rooted = spool(texts.mapInArrow(places, schema).join(names, ["p", "q"]).drop("p", "q"))
     # In one text a place that overlaps the one that stays is no copy of it.
-    keep = clusters.select("root", F.col("keep.doc_id").alias("keep_id"), F.col("keep.start").alias("keep_start"))
-    kept = rooted.join(broadcast_if_small(keep), "root")
-    own = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("start") != F.col("keep_start"))
-    first = kept.where(F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("start") == F.col("keep_start")))
-    ends = first.groupBy("root").agg(F.max("stop").alias("keep_stop"))
-    apart = kept.join(broadcast_if_small(ends), "root").where(~(own & (F.col("start") < F.col("keep_stop"))))
-    return _runs(apart.drop("keep_id", "keep_start", "keep_stop"), clusters, ["root"], NEAR_WORDS)
+    place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "start", (-F.col("stop")).alias("back"))
+    clusters = broadcast_if_small(spool(rooted.groupBy("root").agg(F.count("*").alias("cluster_size"), F.min(place).alias("keep"))))
+    own = F.col("doc_id").eqNullSafe(F.col("keep.doc_id")) & (F.col("start") != F.col("keep.start"))
+    apart = rooted.join(clusters.select("root", "keep"), "root").where(~(own & (F.col("start") < -F.col("keep.back"))))
+    return _runs(apart.drop("keep"), clusters, ["root"], NEAR_WORDS)
 
 
 def repeated_paragraphs(spark, sf_dir) -> DataFrame:

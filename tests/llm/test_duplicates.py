@@ -440,3 +440,44 @@ def test_exact_copies_of_other_bytes_and_clashing_names(spark):
     found = trie.exact_duplicates(docs)
     assert {r["doc_id"]: (r["copies"]["keep_id"], r["copies"]["kept"]) for r in found.collect()} == {1: (1, True), 2: (1, False), 3: (3, True), 4: (3, False)}
     assert {(r["copies_name"], r["copies_own"], r["copies_of"], r["row"]) for r in found.collect()} == {("n", "o", "f", "r")}
+
+
+@pytest.mark.parametrize("often", [paragraphs.OFTEN, 3, 1])
+def test_links_within_cells_equal_brute_force(monkeypatch, often):
+    monkeypatch.setattr(paragraphs, "OFTEN", often)
+    draw = random.Random(5)
+    vocabulary = [b"w%d" % k for k in range(40)]
+    base = [draw.choices(vocabulary, k=k) for k in (3, 5, 9, 30, 50)]
+    texts, ends = [], []
+    for n in (1, 40, 130, 3):
+        for _ in range(n):
+            words = list(draw.choice(base))
+            if draw.random() < 0.7:
+                words[draw.randrange(len(words))] = draw.choice(vocabulary)
+            texts.append(b" ".join(words))
+        ends.append(len(texts))
+    want = Sets()
+    for low, high in zip([0, *ends], ends, strict=False):
+        for i in range(low, high):
+            for j in range(low, i):
+                a, b = (paragraphs.shingles(texts[k].split()) for k in (i, j))
+                if len(a & b) / len(a | b) >= 0.8:
+                    want.join(i, j)
+    got = paragraphs._linked(texts, 0.8, ends).tolist()
+    assert len({(g, want.root(k)) for k, g in enumerate(got)}) == len(set(got)) == len({want.root(k) for k in range(len(texts))}) < len(texts)
+
+
+def test_starts_of_few_pieces_need_no_rounds_of_joins(spark, monkeypatch):
+    draw = random.Random(51)
+    inner = draw.choices([f"w{k}" for k in range(500)], k=60)
+    given = [(k, " ".join([*inner[:20], f"edit{k % 70}", *inner[21:], f"end{k}"])) for k in range(90)]
+    frame = spark.createDataFrame(given, "doc_id long, text string")
+
+    def refused(edges):
+        raise AssertionError("a start of few pieces is settled in its cell")
+
+    monkeypatch.setattr(paragraphs, "components", refused)
+    for start_rows in (paragraphs.START_ROWS, 80):  # 90 places, 70 different pieces
+        rows = paragraphs.near_passages(frame, start_rows=start_rows).collect()
+        assert {r["doc_id"] for r in rows} == set(range(90)) and {r["keep_doc_id"] for r in rows} == {0}
+        assert {r["doc_id"] for r in rows if r["removed"]} == set(range(1, 90))
