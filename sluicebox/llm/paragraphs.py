@@ -44,7 +44,7 @@ from sluicebox.llm.common import SLICE_BYTES, raw, slices, table
 from sluicebox.llm.components import components
 from sluicebox.llm.simhash import Forest
 from sluicebox.llm.stats import SPACE
-from sluicebox.session import broadcast_if_small, spool
+from sluicebox.session import broadcast_if_small, may_broadcast, measure, settle, spool
 
 MIN_WORDS, SHINGLE, THRESHOLD = 50, 5, 0.8
 RECALL, LOW, FALSE = 0.999, 0.3, 0.15
@@ -284,10 +284,11 @@ def _linked(texts: list[bytes], threshold: float, ends: list[int] | None = None,
     code, counts = (shingler or Shingler()).hashes(texts)
     rows = np.repeat(np.arange(n), counts)
     code += cells[rows].astype(np.uint64) * np.uint64(_FACTORS[0])  # the same words in two cells are two codes
-    order = np.argsort(code, kind="stable")
+    order = np.argsort(code)
     code, rows = code[order], rows[order]
-    fresh = np.r_[True, (code[1:] != code[:-1]) | (rows[1:] != rows[:-1])][: len(code)]
-    code, rows = code[fresh], rows[fresh]
+    code = np.r_[0, np.cumsum(code[1:] != code[:-1])][: len(code)]  # numbers from here on
+    both = np.sort(code * n + rows)
+    code, rows = np.divmod(both[np.r_[True, both[1:] != both[:-1]][: len(both)]], max(n, 1))
     sizes = np.bincount(rows, minlength=n).astype(np.float64)
     first = np.flatnonzero(np.r_[True, code[1:] != code[:-1]][: len(code)])
     holders = np.diff(np.r_[first, len(code)])
@@ -587,14 +588,14 @@ def shared_passages(docs: DataFrame, text: str = "text", every: bool = False) ->
     found = spool(texts.mapInArrow(places, schema).join(twice, "p", "left_semi").select("doc_id", "version", "word", "start", "stop", "p", "q"))
     place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "start")
     shared = found.groupBy("p", "q").agg(F.count("*").alias("cluster_size"), F.min(place).alias("keep")).where("cluster_size > 1")
-    return _runs(found, shared, ["p", "q"], PIECE_WORDS)
+    return _runs(found.join(broadcast_if_small(shared), ["p", "q"]), ["p", "q"], PIECE_WORDS)
 
 
-def _runs(found: DataFrame, shared: DataFrame, keys: list[str], size: int) -> DataFrame:
-    """Pieces of ``shared`` clusters, judged; those of a text that overlap and stay or go for one document are one row."""
+def _runs(found: DataFrame, keys: list[str], size: int) -> DataFrame:
+    """Pieces with the place that their cluster keeps, judged; those of a text that overlap and stay or go for one document are one row."""
     once = found.repartition("doc_id", "version").dropDuplicates(["doc_id", "version", "word"])
     stays = F.col("doc_id").eqNullSafe(F.col("keep.doc_id")) & (F.col("start") == F.col("keep.start"))
-    judged = once.join(broadcast_if_small(shared), keys).withColumn("removed", ~stays)
+    judged = once.withColumn("removed", ~stays)
     along = Window.partitionBy("doc_id", "version").orderBy("word")
     apart = F.col("word") > F.lag("word").over(along) + size
     differs = ~F.lag("keep.doc_id").over(along).eqNullSafe(F.col("keep.doc_id")) | (F.lag("removed").over(along) != F.col("removed"))
@@ -694,15 +695,18 @@ def near_passages(
         if not rest.isEmpty():
             roots = components(paragraph_links(spool(_begun_bands(rest)), rest, threshold, cell_rows))
             rooted_names.append(_rooted(roots).withColumn("root", _node("root.p", "root.q")))
-    names = broadcast_if_small(reduce(DataFrame.unionByName, rooted_names))
-    schema = "doc_id long, version long, word long, start long, stop long, p long, q long"
-    rooted = spool(texts.mapInArrow(places, schema).join(names, ["p", "q"]).drop("p", "q"))
+    names = reduce(DataFrame.unionByName, rooted_names)
+    again = texts.mapInArrow(places, "doc_id long, version long, word long, start long, stop long, p long, q long")
+    linked_starts = settle(names.select("p").distinct())
+    if may_broadcast(measure(linked_starts)[1]):  # the names themselves may be too many; then few places are shuffled
+        again = again.join(F.broadcast(linked_starts), "p", "left_semi")
+    rooted = spool(again.join(broadcast_if_small(names), ["p", "q"]).drop("p", "q"))
     # In one text a place that overlaps the one that stays is no copy of it.
     place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "start", (-F.col("stop")).alias("back"))
     clusters = broadcast_if_small(spool(rooted.groupBy("root").agg(F.count("*").alias("cluster_size"), F.min(place).alias("keep"))))
     own = F.col("doc_id").eqNullSafe(F.col("keep.doc_id")) & (F.col("start") != F.col("keep.start"))
-    apart = rooted.join(clusters.select("root", "keep"), "root").where(~(own & (F.col("start") < -F.col("keep.back"))))
-    return _runs(apart.drop("keep"), clusters, ["root"], NEAR_WORDS)
+    apart = rooted.join(clusters, "root").where(~(own & (F.col("start") < -F.col("keep.back"))))
+    return _runs(apart, ["root"], NEAR_WORDS)
 
 
 def repeated_paragraphs(spark, sf_dir) -> DataFrame:
