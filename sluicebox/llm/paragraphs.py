@@ -12,8 +12,9 @@ clusters are the connected components of the links, and all but the first paragr
 * Paragraphs with the same words are one node, so exact copies never meet in a bucket. A task spreads the bands and words
   of a node once, and none for fewer words than a shingle has, as only equal ones are alike.
 * Buckets with two or more nodes are kept, buckets with the same members once. Their members come together with their
-  words; all pairs of a bucket are checked exactly by products of 0/1 matrices, block by block, and a spanning forest of
-  the links is all that leaves a task. A bucket too large for a task is dealt out as pairs of chunks.
+  words; all pairs of a bucket are checked by their sets of shingles (64-bit hashes): common ones are counted pair by pair,
+  those of many texts by products of 0/1 matrices, block by block, and a spanning forest of the links is all that leaves a
+  task. A bucket too large for a task is dealt out as pairs of chunks.
 
 Passages that sit inside lines, with other words around them, are no paragraphs of their own. They are cut by content:
 in every ``PASSAGE_STARTS`` neighbouring places of a text the one with the least hash of its next four words starts a
