@@ -43,9 +43,10 @@ from pyspark.sql import functions as F
 from sluicebox.llm.cells import deal
 from sluicebox.llm.common import SLICE_BYTES, raw, slices, table
 from sluicebox.llm.components import components
+from sluicebox.llm.hashes import repeated
 from sluicebox.llm.simhash import Forest
 from sluicebox.llm.stats import SPACE
-from sluicebox.session import broadcast_if_small, may_broadcast, measure, settle, spool
+from sluicebox.session import broadcast_if_small, may_broadcast, measure, spool, worked_off
 
 MIN_WORDS, SHINGLE, THRESHOLD = 50, 5, 0.8
 RECALL, LOW, FALSE = 0.999, 0.3, 0.15
@@ -185,9 +186,12 @@ class MinHash:
             return np.concatenate([self.band_values(flat[:cut], counts[:half]), self.band_values(flat[cut:], counts[half:])])
         first = np.cumsum(counts) - counts
         least = np.empty((len(counts), len(self.factor)), np.uint64)
+        mixed, high = np.empty_like(flat), np.empty_like(flat)
         for k, (factor, shift) in enumerate(zip(self.factor, self.shift, strict=True)):
-            mixed = flat * factor + shift
-            mixed ^= mixed >> np.uint64(31)
+            np.multiply(flat, factor, out=mixed)
+            mixed += shift
+            np.right_shift(mixed, np.uint64(31), out=high)
+            mixed ^= high
             mixed *= np.uint64(0x9E3779B97F4A7C15)
             least[:, k] = np.minimum.reduceat(mixed, first)
         values = np.zeros((len(counts), self.bands), np.uint64)
@@ -365,21 +369,32 @@ def paragraph_links(found: DataFrame, lines: DataFrame, threshold: float = THRES
 
     ``found(p, q, bands)`` is a table; ``lines(p, q, words)`` may name the same words several times.
     """
+
+    def values(batches):
+        for batch in batches:
+            p, q = (batch.column(c).to_numpy().view(np.uint64) for c in ("p", "q"))
+            bands = batch.column("bands")
+            yield bands.flatten().to_numpy(), np.repeat(p * np.uint64(_FACTORS[0]) + q, bands.value_lengths().to_numpy())
+
     name = F.xxhash64("p", "q")
     banded = found.select("p", "q", F.explode("bands").alias("value"))
-    buckets = banded.groupBy("value").agg(F.min(name).alias("least"), F.max(name).alias("most")).where("least < most")
-    shared = broadcast_if_small(spool(buckets.select("value")))
+    shared = _small(repeated(found.select("p", "q", "bands").where("bands is not null"), values, "value").select("value"))
     members = spool(banded.join(shared, "value", "left_semi").distinct())
     same = members.groupBy("value").agg(F.count("*").alias("n"), F.bit_xor(name).alias("x"), F.bit_xor(F.xxhash64(name)).alias("y"))
     once = same.groupBy("n", "x", "y").agg(F.min("value").alias("value")).select("value")
     kept = members.join(once, "value", "left_semi")
-    names = broadcast_if_small(spool(members.select("p", "q").distinct()))
+    names = _small(members.select("p", "q").distinct())
     words = lines.join(names, ["p", "q"], "left_semi").groupBy("p", "q").agg(F.any_value("words").alias("words"))
     dealt = deal(spool(kept), ["value"], F.struct("p", "q"), cell_rows)
     keys = ["value", "cell_i", "cell_j"]
     return _cell_links(dealt.join(words, ["p", "q"]), keys, threshold)
 
 
+def _small(rows: DataFrame) -> DataFrame:
+    """``rows``, written once, for a join that moves nothing else while they are few."""
+    return broadcast_if_small(spool(rows), spooled=True)
+
+
 def _by_cell(rows: DataFrame, keys: list[str]) -> DataFrame:
     named = list(dict.fromkeys([*keys, "p", "q"]))
     return rows.select(*named, "words").repartition(*keys).sortWithinPartitions(*named)
@@ -451,7 +466,7 @@ def duplicate_paragraphs(
     """
     found = spool(paragraphs(docs, text, min_words, wrapped))
     roots = components(paragraph_links(found, paragraph_words(docs, text, min_words, wrapped), threshold, cell_rows))
-    rooted = found.drop("bands").join(broadcast_if_small(_rooted(roots)), ["p", "q"], "left")
+    rooted = found.drop("bands").join(_small(_rooted(roots)), ["p", "q"], "left")
     placed = spool(rooted.withColumn("root", F.coalesce("root", F.struct("p", "q"))).drop("p", "q"))
     place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "paragraph")
     clusters = placed.groupBy("root").agg(F.count("*").alias("cluster_size"), F.min(place).alias("keep"), F.max("n_lines").alias("most"))
@@ -571,7 +586,7 @@ def shared_passages(docs: DataFrame, text: str = "text", every: bool = False) ->
         for batch in batches:
             texts = batch.column("raw")
             for low, high in slices(texts):
-                yield pa.RecordBatch.from_arrays([pa.array(finder.find(texts[low:high].to_pylist())[4])], ["p"])
+                yield finder.find(texts[low:high].to_pylist())[4], None
 
     def places(batches):
         finder = PieceFinder(every)
@@ -583,13 +598,12 @@ def shared_passages(docs: DataFrame, text: str = "text", every: bool = False) ->
                 yield pa.RecordBatch.from_arrays([*named, *map(pa.array, numbers)], ["doc_id", "version", "word", "start", "stop", "p", "q"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(raw(text)).alias("version"), raw(text).alias("raw"))
-    counted = texts.select("raw").mapInArrow(names, "p long").groupBy("p").agg(F.count("*").alias("n"))
-    twice = broadcast_if_small(spool(counted.where("n > 1").select("p")))
+    twice = _small(repeated(texts.select("raw"), names, "p").select("p"))
     schema = "doc_id long, version long, word long, start long, stop long, p long, q long"
     found = spool(texts.mapInArrow(places, schema).join(twice, "p", "left_semi").select("doc_id", "version", "word", "start", "stop", "p", "q"))
     place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "start")
     shared = found.groupBy("p", "q").agg(F.count("*").alias("cluster_size"), F.min(place).alias("keep")).where("cluster_size > 1")
-    return _runs(found.join(broadcast_if_small(shared), ["p", "q"]), ["p", "q"], PIECE_WORDS)
+    return _runs(found.join(_small(shared), ["p", "q"]), ["p", "q"], PIECE_WORDS)
 
 
 def _runs(found: DataFrame, keys: list[str], size: int) -> DataFrame:
@@ -651,7 +665,7 @@ def near_passages(
         for batch in batches:
             texts = batch.column("raw")
             for low, high in slices(texts):
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in finder.find(texts[low:high].to_pylist(), begun=True)[4:]], ["p", "q"])
+                yield finder.find(texts[low:high].to_pylist(), begun=True)[4:]
 
     def lines(batches):
         finder = PieceFinder(size=NEAR_WORDS)
@@ -679,18 +693,16 @@ def near_passages(
                 named = [batch.column(c).take(pa.array(of + low)) for c in ("doc_id", "version")]
                 yield pa.RecordBatch.from_arrays([*named, *map(pa.array, numbers)], ["doc_id", "version", "word", "start", "stop", "p", "q"])
 
-    pieces = texts.select("raw").mapInArrow(starts, "p long, q long").groupBy("p")
-    ranges = pieces.agg(F.min("q").alias("least"), F.max("q").alias("most"), F.count("*").alias("places"))
-    counted = spool(ranges.where("least < most").select("p", "places"))
+    counted = _small(repeated(texts.select("raw"), starts, "p").withColumnRenamed("n", "places"))
     words = texts.select("raw").mapInArrow(lines, "p long, q long, words binary")
     alone = F.when(F.col("places") > start_rows, F.xxhash64("q")).otherwise(F.lit(0))
-    several = words.join(broadcast_if_small(counted), "p").withColumn("cell", alone)
+    several = words.join(counted, "p").withColumn("cell", alone)
     found = spool(_cell_roots(several, ["p", "cell"], threshold))
     rooted_names = [found.where("root is not null").select("p", "q", "root")]
     crowded = found.where("root is null").select("p", "q", "words")
     if not crowded.isEmpty():  # starts of many places; some have few different pieces
         few = crowded.groupBy("p").agg(F.count("*").alias("n")).where(F.col("n") <= start_rows).select("p")
-        few = broadcast_if_small(spool(few))
+        few = _small(few)
         rooted_names.append(spool(_cell_roots(crowded.join(few, "p", "left_semi"), ["p"], threshold)).select("p", "q", "root"))
         rest = spool(crowded.join(few, "p", "left_anti"))
         if not rest.isEmpty():
@@ -698,13 +710,13 @@ def near_passages(
             rooted_names.append(_rooted(roots).withColumn("root", _node("root.p", "root.q")))
     names = reduce(DataFrame.unionByName, rooted_names)
     again = texts.mapInArrow(places, "doc_id long, version long, word long, start long, stop long, p long, q long")
-    linked_starts = settle(names.select("p").distinct())
+    linked_starts = spool(names.select("p").distinct())
     if may_broadcast(measure(linked_starts)[1]):  # the names themselves may be too many; then few places are shuffled
         again = again.join(F.broadcast(linked_starts), "p", "left_semi")
-    rooted = spool(again.join(broadcast_if_small(names), ["p", "q"]).drop("p", "q"))
+    rooted = spool(again.join(broadcast_if_small(names, spooled=True), ["p", "q"]).drop("p", "q"))
     # In one text a place that overlaps the one that stays is no copy of it.
     place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "start", (-F.col("stop")).alias("back"))
-    clusters = broadcast_if_small(spool(rooted.groupBy("root").agg(F.count("*").alias("cluster_size"), F.min(place).alias("keep"))))
+    clusters = _small(rooted.groupBy("root").agg(F.count("*").alias("cluster_size"), F.min(place).alias("keep")))
     own = F.col("doc_id").eqNullSafe(F.col("keep.doc_id")) & (F.col("start") != F.col("keep.start"))
     apart = rooted.join(clusters, "root").where(~(own & (F.col("start") < -F.col("keep.back"))))
     return _runs(apart, ["root"], NEAR_WORDS)
@@ -713,8 +725,12 @@ def near_passages(
 def repeated_paragraphs(spark, sf_dir) -> DataFrame:
     """Every line and wrapped paragraph of the documents that has a near copy, and every shared passage inside other paragraphs."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    lines = duplicate_paragraphs(docs, min_words=1).withColumn("kind", F.lit("line"))
-    wrapped = duplicate_paragraphs(docs, min_words=1, wrapped=True).withColumn("kind", F.lit("wrapped"))
-    equal = shared_passages(docs, every=True).withColumn("kind", F.lit("passage"))
-    near = near_passages(docs).withColumn("kind", F.lit("near_passage"))
+    kinds = {
+        "line": lambda: duplicate_paragraphs(docs, min_words=1),
+        "wrapped": lambda: duplicate_paragraphs(docs, min_words=1, wrapped=True),
+        "passage": lambda: shared_passages(docs, every=True),
+        "near_passage": lambda: near_passages(docs),
+    }
+    # The rows of a kind are few beside what finding them takes, which is gone before the next kind.
+    lines, wrapped, equal, near = (worked_off(spark, find).withColumn("kind", F.lit(kind)) for kind, find in kinds.items())
     return lines.unionByName(wrapped).unionByName(equal.unionByName(near), allowMissingColumns=True)
